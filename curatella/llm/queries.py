@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from curatella.functions.blank import NO_VALUE, is_blank
-from curatella.llm import canonical, mixing, survivors, tokens
+from curatella.llm import canonical, mixing, names, survivors, tokens
 from curatella.sources.tables import table
 
 
@@ -41,6 +41,32 @@ def p4_survivors(spark: SparkSession, d: str) -> DataFrame:
     return survivors.survivors(table(spark, d, "submission_mentions"))
 
 
+def _entities(spark: SparkSession, d: str, name: str) -> DataFrame:
+    """(id, entity) of the records behind one name field."""
+    if name == "assessmentName":
+        records = table(spark, d, "clinical_tools").select(F.col("ct_id").alias("id"), F.col(name).alias("name"), F.col("assessmentType").alias("more"), F.lit(None).cast("string").alias("same_as"))
+    else:
+        records = table(spark, d, "developer_entries").select(F.col("entry_id").alias("id"), F.col(name).alias("name"), F.col("developerAffiliation").alias("more"), names.identifier(F.col("orcid")).alias("same_as"))
+    return names.link(names.parse(records.where(~is_blank(F.col("name"))), name == "developerName"))
+
+
+def p7_found(spark: SparkSession, d: str) -> DataFrame:
+    """All pairs of records of one instrument, person or organisation."""
+    both = [names.entity_pairs(_entities(spark, d, name)).select(F.lit(name).alias("field_name"), "id_1", "id_2") for name in ("assessmentName", "developerName")]
+    return both[0].unionByName(both[1])
+
+
+def p7_entities(spark: SparkSession, d: str) -> DataFrame:
+    """Each record's entity and its size, without any pairs."""
+    out = None
+    for name in ("assessmentName", "developerName"):
+        linked = _entities(spark, d, name)
+        sizes = linked.groupBy("entity").agg(F.count(F.lit(1)).alias("n_records"), F.min("id").alias("entity_id"))
+        own = linked.join(sizes, "entity").select(F.lit(name).alias("field_name"), "id", "entity_id", "n_records")
+        out = own if out is None else out.unionByName(own)
+    return out
+
+
 def p8_ids(spark: SparkSession, d: str) -> DataFrame:
     """Token ids of every document by byte_bpe_50k, without special tokens."""
     return tokens.encode_table(table(spark, d, "documents"), "doc_id", "text")
@@ -61,7 +87,7 @@ def p9_shares(spark: SparkSession, d: str) -> DataFrame:
     return _mix(spark, d)[1]
 
 
-QUERIES = {f.__name__: f for f in (p2_found, p2_unmatched, p4_found, p4_survivors, p8_ids, p9_mix, p9_shares)}
+QUERIES = {f.__name__: f for f in (p2_found, p2_unmatched, p4_found, p4_survivors, p7_found, p7_entities, p8_ids, p9_mix, p9_shares)}
 
 _BLANKS = ", ".join("'" + w.replace("'", "''") + "'" for w in NO_VALUE)
 
