@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from curatella.functions.blank import NO_VALUE, is_blank
-from curatella.llm import canonical, mixing, names, survivors, tokens
+from curatella.llm import canonical, mixing, names, survivors, tokens, truncation
 from curatella.sources.tables import table
 
 
@@ -31,6 +31,22 @@ def p2_unmatched(spark: SparkSession, d: str) -> DataFrame:
     return _mapped(spark, d).where(F.col("ref_id") == canonical.UNMATCHED).groupBy("field_name", "value").agg(F.count(F.lit(1)).alias("n"))
 
 
+def _judged(spark: SparkSession, d: str) -> DataFrame:
+    return truncation.judge(table(spark, d, "submission_mentions"), "sp_id", "_context", "_source", "resourceId")
+
+
+def p3_found(spark: SparkSession, d: str) -> DataFrame:
+    """Mentions whose context lost its end."""
+    return _judged(spark, d).where("is_cut").select(F.col("key").alias("sp_id"))
+
+
+def p3_rates(spark: SparkSession, d: str) -> DataFrame:
+    """How often each source cuts, and how that was seen."""
+    n = lambda why: F.count(F.when(F.col("why") == why, 1)).alias(f"n_{why}")
+    by = _judged(spark, d).groupBy("source").agg(F.count(F.lit(1)).alias("n_texts"), F.count(F.when(F.col("is_cut"), 1)).alias("n_cut"), *(n(w) for w in ("copy", "mark", "limit", "sentence", "closing")))
+    return by.withColumn("cut_rate", F.col("n_cut") / F.col("n_texts"))
+
+
 def p4_found(spark: SparkSession, d: str) -> DataFrame:
     """Groups of records of one mention: the record kept and the one whose context survives."""
     return survivors.choose(survivors.assign(table(spark, d, "submission_mentions"))).select("group_id", "keep_id", "context_id")
@@ -87,7 +103,7 @@ def p9_shares(spark: SparkSession, d: str) -> DataFrame:
     return _mix(spark, d)[1]
 
 
-QUERIES = {f.__name__: f for f in (p2_found, p2_unmatched, p4_found, p4_survivors, p7_found, p7_entities, p8_ids, p9_mix, p9_shares)}
+QUERIES = {f.__name__: f for f in (p2_found, p2_unmatched, p3_found, p3_rates, p4_found, p4_survivors, p7_found, p7_entities, p8_ids, p9_mix, p9_shares)}
 
 _BLANKS = ", ".join("'" + w.replace("'", "''") + "'" for w in NO_VALUE)
 
