@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from curatella.functions.blank import NO_VALUE, is_blank
-from curatella.llm import canonical, mixing, names, survivors, tokens, truncation
+from curatella.llm import abuse, canonical, mixing, names, survivors, tokens, truncation
 from curatella.sources.tables import table
 
 
@@ -103,7 +103,29 @@ def p9_shares(spark: SparkSession, d: str) -> DataFrame:
     return _mix(spark, d)[1]
 
 
-QUERIES = {f.__name__: f for f in (p2_found, p2_unmatched, p3_found, p3_rates, p4_found, p4_survivors, p7_found, p7_entities, p8_ids, p9_mix, p9_shares)}
+def _scored(spark: SparkSession, d: str) -> DataFrame:
+    documents = table(spark, d, "documents")
+    model = abuse.fit(abuse.sample(documents, table(spark, d, "doc_labels")))
+    return abuse.score(documents, model, keep=("source",))
+
+
+def p10_found(spark: SparkSession, d: str) -> DataFrame:
+    """Documents with an abusive, hateful or sexually explicit passage."""
+    return _scored(spark, d).where("is_toxic").select("doc_id")
+
+
+def p10_scores(spark: SparkSession, d: str) -> DataFrame:
+    """A score for every document."""
+    return _scored(spark, d).select("doc_id", "source", "score", "is_toxic")
+
+
+def p10_rates(spark: SparkSession, d: str) -> DataFrame:
+    """Rate of such documents per source."""
+    by = _scored(spark, d).groupBy("source").agg(F.count(F.lit(1)).alias("n_docs"), F.count(F.when(F.col("is_toxic"), 1)).alias("n_toxic"))
+    return by.withColumn("toxic_rate", F.col("n_toxic") / F.col("n_docs"))
+
+
+QUERIES = {f.__name__: f for f in (p2_found, p2_unmatched, p3_found, p3_rates, p4_found, p4_survivors, p7_found, p7_entities, p8_ids, p9_mix, p9_shares, p10_found, p10_scores, p10_rates)}
 
 _BLANKS = ", ".join("'" + w.replace("'", "''") + "'" for w in NO_VALUE)
 
