@@ -48,7 +48,7 @@ def detect(explicit: Column, probes: list[tuple[Column, str]]) -> Column:
 
 def per_item(df: DataFrame, column: str, separator: str = ";", alias: str = "item") -> DataFrame:
     """One row per trimmed item of a separated list; a blank list gives one row with ''."""
-    items = F.filter(F.transform(F.split(F.coalesce(F.col(column), F.lit("")), separator), F.trim), lambda x: x != "")
+    items = F.filter(F.transform(F.split(F.coalesce(F.col(column), F.lit("")), separator), lambda x: F.trim(x)), lambda x: x != "")
     return df.withColumn(alias, F.explode(F.when(F.size(items) > 0, items).otherwise(F.array(F.lit("")))))
 
 

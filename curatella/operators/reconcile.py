@@ -137,7 +137,7 @@ def repair_fk(df: DataFrame, fk: str, valid: DataFrame, valid_key: str, alternat
 def people(df: DataFrame, names: str, affiliations: str, id_: str) -> DataFrame:
     """(name, affiliation, id_): one row per name of the `;` lists, a lacking affiliation taken from the
     last one given; of one name the row with an affiliation wins, of equals the smallest id."""
-    n, a = F.filter(F.transform(F.split(names, ";"), F.trim), lambda x: x != ""), F.transform(F.split(F.coalesce(F.col(affiliations), F.lit("")), ";"), F.trim)
+    n, a = F.filter(F.transform(F.split(names, ";"), lambda x: F.trim(x)), lambda x: x != ""), F.transform(F.split(F.coalesce(F.col(affiliations), F.lit("")), ";"), lambda x: F.trim(x))
     each = df.where(F.col(names).isNotNull()).select(F.col(id_), F.posexplode(n).alias("_p", "name"), a.alias("_a"))
     own = F.coalesce(F.get("_a", F.col("_p")), F.element_at("_a", -1))
     each = each.select(id_, "name", F.when(own != "", own).alias("affiliation"))

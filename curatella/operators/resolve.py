@@ -66,10 +66,24 @@ def token_overlap(a: Column, b: Column) -> Column:
     return F.coalesce(F.try_divide(F.size(F.array_intersect(x, y)), F.greatest(F.size(x), F.size(y))), F.lit(0.0))
 
 
-@F.pandas_udf("double")
-def sequence_ratio(a: pd.Series, b: pd.Series) -> pd.Series:
-    """Ratcliff-Obershelp similarity of lower-cased texts; null if either is."""
-    return pd.Series([None if x is None or y is None else SequenceMatcher(None, x.lower(), y.lower()).ratio() for x, y in zip(a, b, strict=True)], dtype="float64")
+def _pairwise(a: Column, b: Column, score) -> Column:
+    """score of lower-cased texts in Arrow batches; null if either is."""
+
+    @F.pandas_udf("double")
+    def run(x: pd.Series, y: pd.Series) -> pd.Series:
+        return pd.Series([None if p is None or q is None else score(p.lower(), q.lower()) for p, q in zip(x, y, strict=True)], dtype="float64")
+
+    return run(a, b)
+
+
+def sequence_ratio(a: Column, b: Column, least: float = 0.0) -> Column:
+    """Ratcliff-Obershelp similarity of lower-cased texts; 0 where a cheap upper bound is below ``least``."""
+
+    def score(p: str, q: str) -> float:
+        m = SequenceMatcher(None, p, q)
+        return m.ratio() if not least or (m.real_quick_ratio() >= least and m.quick_ratio() >= least) else 0.0
+
+    return _pairwise(a, b, score)
 
 
 def common_length(a: str, b: str) -> int:
@@ -82,17 +96,9 @@ def common_length(a: str, b: str) -> int:
     return row[-1]
 
 
-@F.pandas_udf("double")
-def indel_ratio(a: pd.Series, b: pd.Series) -> pd.Series:
-    """Twice the common subsequence over both lengths, of lower-cased texts; null if either is."""
-    out = []
-    for x, y in zip(a, b, strict=True):
-        if x is None or y is None:
-            out.append(None)
-        else:
-            n = len(x) + len(y)
-            out.append(2 * common_length(x.lower(), y.lower()) / n if n else 1.0)
-    return pd.Series(out, dtype="float64")
+def indel_ratio(a: Column, b: Column, least: float = 0.0) -> Column:
+    """Twice the common subsequence over both lengths, of lower-cased texts; 1 for two empty ones."""
+    return _pairwise(a, b, lambda p, q: 2 * common_length(p, q) / (len(p) + len(q)) if p or q else 1.0)
 
 
 def trigrams(c: Column) -> Column:
@@ -101,32 +107,35 @@ def trigrams(c: Column) -> Column:
     return F.array_distinct(F.transform(F.sequence(F.lit(1), F.length(low) - 2), lambda i: low.substr(i, F.lit(3))))
 
 
-def fuzzy_pairs(left: DataFrame, right: DataFrame, name: str, other: str, least: float = 0.85, score=sequence_ratio, total: int | None = None) -> DataFrame:
-    """(left columns, right columns, score) of names at least so alike, over distinct names of both sides.
+def fuzzy_pairs(left: DataFrame, right: DataFrame, name: str, other: str, least: float = 0.85, score=sequence_ratio, total: int = 1_000_000) -> DataFrame:
+    """(name, other, score) of names at least so alike, over distinct names of both sides.
 
-    Both ratios are at most 2 m / (len a + len b) with m the shorter length, so lengths must agree within
-    that bound; and names so alike share trigrams: a name is looked up by its rarest trigrams, as many as
-    ``least`` makes sure that one is common. Only the pairs that meet both are scored.
+    Either ratio is 2 m / (len a + len b) with m letters matched in order, so lengths agree within that
+    bound, and at most d = (1 - least) (len a + len b) letters are unmatched, which spoil at most 3 d
+    trigrams of a name. A name is therefore looked up by its 3 d + 1 rarest trigrams, and pairs more than
+    d edits apart are dropped in the JVM; only the rest is scored.
     """
     a = left.select(F.col(name)).where(F.col(name).isNotNull() & (F.trim(name) != "")).distinct()
     b = right.select(F.col(other)).where(F.col(other).isNotNull() & (F.trim(other) != "")).distinct()
     lower = b.select(other, F.explode(trigrams(F.col(other))).alias("_g"))
     weight = lower.groupBy("_g").agg(F.count(F.lit(1)).alias("_w"))
     mine = a.select(name, F.explode(trigrams(F.col(name))).alias("_g")).join(weight, "_g")
-    # an edit spoils at most three trigrams: with k rarest ones looked up, one survives up to k/3 edits
-    need = F.ceil((1 - F.lit(least)) * F.length(name) * 3 * 2) + 1
+    la, lb = F.length(name), F.length(other)
+    longest = la * F.lit((2 - least) / least)  # of a partner within the bound
+    need = F.floor(3 * (1 - F.lit(least)) * (la + longest)) + 1
     rank = F.row_number().over(Window.partitionBy(name).orderBy("_w", "_g"))
     mine = mine.withColumn("_r", rank).where(F.col("_r") <= need).select(name, "_g")
-    la, lb = F.length(name), F.length(other)
     bound = 2 * F.least(la, lb) >= F.lit(least) * (la + lb)
-    rows = total if total is not None else 1_000_000
-    pairs = skew.salted_join(mine, lower, ["_g"], "inner", rows, bound).select(name, other).distinct()
-    return pairs.withColumn("score", score(F.col(name), F.col(other))).where(F.col("score") >= least)
+    pairs = skew.salted_join(mine, lower, ["_g"], "inner", total, bound).select(name, other)
+    # few bytes, but much to compute: a fixed number of partitions, and the edits after the duplicates went
+    pairs = pairs.repartition(skew.partitions(left), name, other).groupBy(name, other).agg(F.count(F.lit(1)).alias("_c"))
+    pairs = pairs.where(F.levenshtein(F.lower(name), F.lower(other)) <= (1 - F.lit(least)) * (la + lb) * F.least(F.col("_c"), F.lit(1))).drop("_c")
+    return pairs.withColumn("score", score(F.col(name), F.col(other), least)).where(F.col("score") >= least)
 
 
 def best_match(pairs: DataFrame, name: str, other: str) -> DataFrame:
     """The best partner of each name, ties to the first in order."""
-    return pairs.groupBy(name).agg(F.max_by(F.struct(other, "score"), F.struct("score", F.lit(0))).alias("_b"), F.max("score").alias("_s")).join(pairs, name).where(F.col("score") == F.col("_s")).groupBy(name).agg(F.min(other).alias(other), F.max("score").alias("score"))
+    return pairs.groupBy(name, "score").agg(F.min(other).alias(other)).groupBy(name).agg(F.max_by(other, "score").alias(other), F.max("score").alias("score"))
 
 
 def categorise(ids: DataFrame, id_: str, names: DataFrame, name: str, synonyms: DataFrame, synonym: str, least_count: int = 2, least: float = 0.85) -> DataFrame:

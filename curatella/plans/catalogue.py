@@ -1,5 +1,5 @@
 """The core's query modules; each has QUERIES and ORACLE."""
 
-from curatella.plans import problems
+from curatella.plans import problems, reference
 
-MODULES = (problems,)
+MODULES = (problems, reference)
