@@ -73,7 +73,8 @@ def _pairwise(a: Column, b: Column, score) -> Column:
     def run(x: pd.Series, y: pd.Series) -> pd.Series:
         return pd.Series([None if p is None or q is None else score(p.lower(), q.lower()) for p, q in zip(x, y, strict=True)], dtype="float64")
 
-    return run(a, b)
+    # called non-deterministic so that cheaper conditions are never merged with those on the score
+    return run.asNondeterministic()(a, b)
 
 
 def sequence_ratio(a: Column, b: Column, least: float = 0.0) -> Column:
