@@ -200,5 +200,6 @@ def split_values(df: DataFrame, row_key: str, columns: dict[str, bool], least: i
     rows = df.select(F.col(f"`{row_key}`").alias("row_key"), F.explode(cells).alias("_c")).select("row_key", "_c.*")
     if least > 1:
         rows = rows.where(F.col("_cell").rlike(MAYBE))
-    rows = rows.withColumn("_values", values("_cell", "_people")).where(F.size("_values") >= least)
+    # called non-deterministic so that filtering on its result doesn't run it a second time
+    rows = rows.withColumn("_values", values.asNondeterministic()("_cell", "_people")).where(F.size("_values") >= least)
     return rows.select("field_name", "row_key", F.posexplode("_values").alias("_p", "item")).select("field_name", "row_key", (F.col("_p") + 1).alias("pos"), "item")
