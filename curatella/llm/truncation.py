@@ -243,7 +243,8 @@ def cut_copies(texts: DataFrame) -> DataFrame:
             out.append(ends_early(x, y) if r and similar(p[:r], q[:r]) else 0)
         return pd.Series(out, dtype="int32")
 
-    hit = pairs.withColumn("how", how("ta", "tb")).where("how > 0").groupBy("a").agg(F.max("how").alias("how"))
+    # called non-deterministic so that filtering on its result doesn't run it a second time
+    hit = pairs.withColumn("how", how.asNondeterministic()("ta", "tb")).where("how > 0").groupBy("a").agg(F.max("how").alias("how"))
     return named.join(hit, F.col("nid") == F.col("a")).select("key", "how")
 
 
