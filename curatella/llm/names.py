@@ -354,7 +354,8 @@ def link(parsed: DataFrame) -> DataFrame:
                 out.append(agree(x, y))
         return pd.Series(out, dtype="int32")
 
-    judged = pairs.withColumn("level", fit("parsed", "parsed_2", "same_as", "same_as_2")).where(F.col("level") > 0)
+    # called non-deterministic so that filtering on its result doesn't run it a second time
+    judged = pairs.withColumn("level", fit.asNondeterministic()("parsed", "parsed_2", "same_as", "same_as_2")).where(F.col("level") > 0)
     judged = lineage.cut(judged.select("nid", "nid_2", "level", F.col("parsed.reduced").alias("r"), F.col("parsed_2.reduced").alias("r_2")))
     full = components(judged.where((~F.col("r") & ~F.col("r_2")) | (F.col("level") == 3)), "nid", "nid_2")
     label = nodes.join(full.withColumnRenamed("node", "nid"), "nid", "left").select("nid", F.col("parsed.reduced").alias("r"), F.coalesce("component", "nid").alias("entity"), F.col("component").isNotNull().alias("_in"))
