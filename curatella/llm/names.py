@@ -9,6 +9,7 @@ only one that fits, so that they can't tie two persons together.
 
 from __future__ import annotations
 
+import functools
 import re
 from collections.abc import Iterator
 
@@ -104,6 +105,12 @@ def _letters(text: str) -> list[str]:
     return re.findall(r"[^\W\d_]+", text)
 
 
+@functools.lru_cache(maxsize=50_000)
+def _beside_place(word: str) -> bool:
+    """Whether a long word of an affiliation is one of the usual ones, misspelt."""
+    return any(abs(len(v) - len(word)) < 3 and near(word, v, 2) <= 2 for v in AFFILIATION_WORDS if len(v) > 4)
+
+
 def place_of(affiliation: str | None) -> str:
     """The word of an affiliation that names the place; '' if there is none."""
     if affiliation is None:
@@ -111,13 +118,19 @@ def place_of(affiliation: str | None) -> str:
     text = re.sub(r"\([^)]*\)", " ", fold(affiliation).replace("'s", "").replace("’s", ""))
     best = ""
     for w in _letters(text):
-        if len(w) > 5 and len(w) > len(best) and not any(abs(len(v) - len(w)) < 3 and near(w, v, 2) <= 2 for v in AFFILIATION_WORDS if len(v) > 4):
+        if len(w) > 5 and len(w) > len(best) and not _beside_place(w):
             best = w
     return best or max((w for w in _letters(text) if w not in AFFILIATION_WORDS), key=len, default="")
 
 
+@functools.lru_cache(maxsize=50_000)
+def _of_organisation(word: str) -> bool:
+    """Whether a word is one of organisations' names, abbreviated or misspelt."""
+    return len(word) > 3 and any(o.startswith(word[:4]) and len(word) <= len(o) + 2 or (abs(len(o) - len(word)) < 2 and near(word, o, 1) <= 1) for o in ORG_WORDS)
+
+
 def _organisation(tokens: list[str]) -> bool:
-    return len(tokens) > 2 and any(len(w) > 3 and any(o.startswith(w[:4]) and (len(w) <= len(o) + 2) or near(w, o, 1) <= 1 for o in ORG_WORDS if abs(len(o) - len(w)) < 3 or o.startswith(w[:4])) for w in tokens)
+    return len(tokens) > 2 and any(_of_organisation(w) for w in tokens)
 
 
 def parse_person(name: str | None, affiliation: str | None = None) -> tuple[str, str, list[str], str, str, bool] | None:
@@ -215,6 +228,7 @@ def parse_instrument(name: str | None, kind: str | None = None) -> tuple[str, st
     return "instrument", author, rest, form, known, False
 
 
+@functools.lru_cache(maxsize=50_000)
 def _kind(word: str) -> str:
     """The kind of instrument that a word, abbreviated or misspelt, means; '' if none."""
     best = max(KINDS, key=lambda k: likeness(word, k))
@@ -337,11 +351,12 @@ def link(parsed: DataFrame) -> DataFrame:
     different identifiers forbid a direct link. Every record of ``parsed`` gets an entity, alone if need be.
     """
     parsed = lineage.cut(parsed)
-    nodes = parsed.groupBy("nid").agg(F.first("parsed").alias("parsed"), F.first("keys").alias("keys"), F.first("same_as").alias("same_as"))
-    each = nodes.select("nid", "parsed", "keys", "same_as", F.explode("keys").alias("key"))
-    other = each.select(*(F.col(c).alias(f"{c}_2") for c in each.columns))
-    pairs = each.join(other, (F.col("key") == F.col("key_2")) & (F.col("nid") < F.col("nid_2")))
-    pairs = pairs.where(F.col("key") == F.array_min(F.array_intersect("keys", "keys_2")))
+    nodes = lineage.cut(parsed.groupBy("nid").agg(F.first("parsed").alias("parsed"), F.first("keys").alias("keys"), F.first("same_as").alias("same_as")))
+    each = nodes.select("nid", F.explode("keys").alias("key"))
+    # only ids meet in the blocks; what is compared is fetched for distinct pairs
+    pairs = each.join(each.withColumnRenamed("nid", "nid_2"), "key").where(F.col("nid") < F.col("nid_2")).select("nid", "nid_2").distinct()
+    side = nodes.select("nid", "parsed", "same_as")
+    pairs = pairs.join(side, "nid").join(side.select(*(F.col(c).alias(f"{c}_2") for c in side.columns)), "nid_2")
 
     @F.pandas_udf("int")
     def fit(a: pd.DataFrame, b: pd.DataFrame, s: pd.Series, t: pd.Series) -> pd.Series:
