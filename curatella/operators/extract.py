@@ -17,7 +17,11 @@ SECTION_TITLES = {"methods": ("method", "material", "procedure", "experimental")
 def by_rules(docs: DataFrame, doc: str, text: str, rules: list[tuple[str, str, int, float]]) -> DataFrame:
     """(doc, name, rule, confidence): what each rule (name, pattern, group, confidence) finds, the first
     rule that finds a name (regardless of case) in a document wins."""
-    found = F.concat(*(F.transform(F.regexp_extract_all(F.col(text), F.lit(p), F.lit(g)), lambda m, i=i, n=n, c=c: F.struct(F.lit(i).alias("_i"), F.lit(n).alias("rule"), F.lit(float(c)).alias("confidence"), F.trim(m).alias("name"))) for i, (n, p, g, c) in enumerate(rules)))
+    def found_by(i: int, rule: tuple[str, str, int, float]) -> Column:
+        name, pattern, group, confidence = rule
+        return F.transform(F.regexp_extract_all(F.col(text), F.lit(pattern), F.lit(group)), lambda m: F.struct(F.lit(i).alias("_i"), F.lit(name).alias("rule"), F.lit(float(confidence)).alias("confidence"), F.trim(m).alias("name")))
+
+    found = F.concat(*(found_by(i, r) for i, r in enumerate(rules)))
     each = docs.where(F.col(text).isNotNull()).select(F.col(doc), F.explode(found).alias("_x")).select(doc, "_x.*").where(F.col("name") != "").withColumn("_k", F.lower("name"))
     return keep_one(each, [doc, "_k"], ["_i", "name"]).select(doc, "name", "rule", "confidence")
 
@@ -86,7 +90,7 @@ def acquisition(context: Column, registries: list[tuple[str, str]]) -> Column:
     named = [F.when(F.regexp_extract(context, p, 1) != "", F.concat(F.lit(f"Available from {n} ("), F.regexp_extract(context, p, 1), F.lit(")"))) for p, n in registries]
     item = vendor_item(context)
     bought = F.when(item["vendor"].isNotNull() & item["catalog"].isNotNull(), F.concat(F.lit("Available from "), item["vendor"], F.lit(" (Cat# "), item["catalog"], F.lit(")")))
-    source = F.regexp_extract(context, r"(?i)\b(?:obtained from|purchased from|(?:a )?(?:kind )?gift (?:of|from)|provided by|deposited (?:at|in))\s+(?:the\s+)?([^.;,()]{3,80})", 1)
+    source = F.regexp_extract(context, r"(?i)\b(?:obtained from|purchased from|(?:a )?(?:kind )?gift (?:of|from)|provided by|deposited (?:at|in))\s+(?:the\s+)?((?:Drs?\.|Prof\.)?[^.;,()]{3,80})", 1)
     given = F.when((source != "") & ~F.lower(source).rlike(r"^(?:generat|creat|deriv)|\b(?:patient|donor|volunteer|subject|individual|biops)"), F.concat(F.lit("Available from "), F.trim(source)))
     return F.coalesce(*named, bought, given, F.lit(""))
 

@@ -137,7 +137,7 @@ def s10_top_values(spark: SparkSession, d: str) -> DataFrame:
 
 
 @query("""
-SELECT r_name, p_brand, count(*) AS n_lines, round(sum(l_extendedprice * (1 - l_discount)), 2) AS revenue, count(DISTINCT l_suppkey) AS n_suppliers
+SELECT r_name, p_brand, count(*) AS n_lines, sum(l_extendedprice::DECIMAL(15, 2) * (1 - l_discount::DECIMAL(4, 2)))::DOUBLE AS revenue, count(DISTINCT l_suppkey) AS n_suppliers
 FROM lineitem LEFT JOIN orders ON o_orderkey = l_orderkey LEFT JOIN customer ON c_custkey = o_custkey LEFT JOIN nation ON n_nationkey = c_nationkey
 LEFT JOIN region ON r_regionkey = n_regionkey LEFT JOIN part ON p_partkey = l_partkey GROUP BY ALL""")
 def s11_star_join(spark: SparkSession, d: str) -> DataFrame:
@@ -145,7 +145,7 @@ def s11_star_join(spark: SparkSession, d: str) -> DataFrame:
     t = {n: table(spark, d, n) for n in ("lineitem", "orders", "customer", "nation", "region", "part")}
     j = t["lineitem"].join(t["orders"], F.col("o_orderkey") == F.col("l_orderkey"), "left").join(t["customer"], F.col("c_custkey") == F.col("o_custkey"), "left")
     j = j.join(t["nation"], F.col("n_nationkey") == F.col("c_nationkey"), "left").join(t["region"], F.col("r_regionkey") == F.col("n_regionkey"), "left").join(t["part"], F.col("p_partkey") == F.col("l_partkey"), "left")
-    return j.groupBy("r_name", "p_brand").agg(F.count(F.lit(1)).alias("n_lines"), F.round(F.sum(F.col("l_extendedprice") * (1 - F.col("l_discount"))), 2).alias("revenue"), F.countDistinct("l_suppkey").alias("n_suppliers"))
+    return j.groupBy("r_name", "p_brand").agg(F.count(F.lit(1)).alias("n_lines"), F.sum(F.col("l_extendedprice").cast("decimal(15,2)") * (1 - F.col("l_discount").cast("decimal(4,2)"))).cast("double").alias("revenue"), F.countDistinct("l_suppkey").alias("n_suppliers"))
 
 
 @query("""

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -68,7 +69,6 @@ def review_yaml(spark: SparkSession, glob: str) -> DataFrame:
     A review is a map of its `name: value` lines; lists of maps are numbered, `tools.1.name`. Files that
     can't be read that far give an empty map.
     """
-    import pandas as pd
 
     def parse(text: str | None) -> dict[str, str]:
         out: dict[str, str] = {}
@@ -101,7 +101,7 @@ def review_yaml(spark: SparkSession, glob: str) -> DataFrame:
     def read(texts: pd.Series) -> pd.Series:
         return pd.Series([parse(t) for t in texts], dtype=object)
 
-    files = spark.read.option("wholetext", True).text(glob).select(F.regexp_extract(F.input_file_name(), r"([^/]+?)(?:\.[^./]+)?$", 1).alias("key"), "value")
+    files = spark.read.text(glob, wholetext=True).select(F.regexp_extract(F.input_file_name(), r"([^/]+?)(?:\.[^./]+)?$", 1).alias("key"), "value")
     return files.select("key", read("value").alias("review"))
 
 
