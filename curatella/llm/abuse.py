@@ -28,6 +28,8 @@ MOST_CHARS = 100_000
 #: Bytes of a dictionary at most.
 DICTIONARY = 110_000
 WORDS, STEP, LEVEL = 8, 4, 19
+#: Ends both dictionaries and every window: too short a window would be stored, not compressed.
+PAD = b"\n=0123456789=abcdefghij=pad=\n"
 
 # Signs typed for letters.
 LEET = str.maketrans({"0": "o", "1": "i", "3": "e", "4": "a", "5": "s", "7": "t", "8": "b", "@": "a", "$": "s", "!": "i", "|": "i", "€": "e", "+": "t"})
@@ -68,7 +70,7 @@ def fold(text: str) -> str:
             elif not letters:
                 w = "0" if any(c.isdigit() for c in core) else w
             elif "*" in core:
-                w = core.replace("*", "")
+                w = re.sub(r"\*+", "*", core)
         words.append(re.sub(r"(\w)\1{2,}", r"\1", w))
     return " ".join(_joined(words))
 
@@ -141,7 +143,7 @@ class Scorer:
         self.margin = model.margin
         self.sides = []
         for content in (model.toxic, model.ordinary):
-            d = zstandard.ZstdCompressionDict(content or b"-", dict_type=zstandard.DICT_TYPE_RAWCONTENT)
+            d = zstandard.ZstdCompressionDict(content + PAD, dict_type=zstandard.DICT_TYPE_RAWCONTENT)
             params = zstandard.ZstdCompressionParameters.from_level(LEVEL, format=zstandard.FORMAT_ZSTD1_MAGICLESS, write_content_size=False, write_checksum=False, write_dict_id=False, min_match=3, window_log=17, hash_log=15, chain_log=16)
             d.precompute_compress(compression_params=params)
             self.sides.append(zstandard.ZstdCompressor(dict_data=d, compression_params=params))
@@ -151,13 +153,18 @@ class Scorer:
         got = self.memo.get(text)
         if got is None:
             raw = text.encode("utf-8", "replace")
-            a, b = (len(c.compress(raw)) for c in self.sides)
+            a, b = (len(c.compress(raw + PAD)) for c in self.sides)
             got = (b - a) / (len(raw) + 8)
             if len(self.memo) > 200_000:
                 self.memo.clear()
             self.memo[text] = got
         return got
 
+    def cost(self, text: str) -> float:
+        """Bytes that the ordinary dictionary leaves, a byte of the window."""
+        raw = text.encode("utf-8", "replace")
+        return len(self.sides[1].compress(raw + PAD)) / (len(raw) + 8)
+
     def document(self, text: str) -> float:
         return max((self.window(w) for w in windows(text)), default=-1.0)
 
@@ -198,16 +205,15 @@ def _train(toxic: list[list[str]], ordinary: list[list[str]]) -> tuple[bytes, by
     rare = max(2, len(ordinary) // 300)
     shape = lambda p: " ".join(w if seen[w] > rare else "~" for w in p.split(" "))
     content = _content([p for doc in ordinary for p in doc], shape)
-    probe = Scorer(Model(b"", _content([p for doc in ordinary[::2] for p in doc], shape), 0.0)).sides[1]
-    cost = lambda w: len(probe.compress(w.encode("utf-8", "replace"))) / (len(w.encode("utf-8", "replace")) + 8)
-    usual = sorted(cost(w) for doc in ordinary[1::2] for p in doc for w in parts(p)) or [0.0]
+    probe = Scorer(Model(b"", _content([p for doc in ordinary[::2] for p in doc], shape), 0.0))
+    usual = sorted(probe.cost(w) for doc in ordinary[1::2] for p in doc for w in parts(p)) or [0.0]
     bar = usual[int(0.95 * (len(usual) - 1))]
     known = {shape(w) for doc in ordinary for p in doc for w in (p, *parts(p))}
     runs = {g for doc in ordinary for p in doc for g in _runs(p)}
     strange = lambda w: 2 * sum(g not in runs for g in _runs(w)) > len(_runs(w))
     picked: list[str] = []
     for doc in toxic:
-        own = sorted(((cost(w), w) for p in doc if shape(p) not in known for w in parts(p) if shape(w) not in known and strange(w)), reverse=True)
+        own = sorted(((probe.cost(w), w) for p in doc if shape(p) not in known for w in parts(p) if shape(w) not in known and strange(w)), reverse=True)
         picked += [w for c, w in own if c >= bar] or [w for _, w in own[:1]]
     return _content(picked + [fold(x) for x in LEXICON]), content
 
