@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from curatella.functions import lineage
+
 
 def partitions(df: DataFrame) -> int:
     """Shuffle partitions of the session."""
@@ -30,8 +32,9 @@ def salted_join(left: DataFrame, right: DataFrame, keys: list[str], how: str, to
     ``keys``. No row is dropped or sampled; rows with null keys match nothing, as in SQL.
     """
     salts = partitions(left)
-    hot = F.broadcast(hot_keys(left, keys, total).withColumn("_hot", F.lit(True)))
-    rest = [F.col(c) for c in left.columns]
+    # counted once and kept: both sides need the few keys
+    hot = F.broadcast(lineage.cut(hot_keys(left, keys, total)).withColumn("_hot", F.lit(True)))
+    rest = [F.col(f"`{c}`") for c in left.columns]
     tagged = left.join(hot, keys, "left").withColumn("_salt", F.when(F.col("_hot"), F.pmod(F.xxhash64(*rest), F.lit(salts)).cast("int")).otherwise(0)).drop("_hot")
     spread = right.join(hot, keys, "left").withColumn("_rsalt", F.explode(F.when(F.col("_hot"), F.sequence(F.lit(0), F.lit(salts - 1))).otherwise(F.array(F.lit(0))))).drop("_hot")
     for k in keys:
