@@ -13,11 +13,11 @@ from curatella.sources.tables import table
 def _mapped(spark: SparkSession, d: str) -> DataFrame:
     journals, funders = table(spark, d, "journal_reference"), table(spark, d, "funder_reference")
     lists = {"journal": canonical.read_entries(journals, "journal_id", "journal_name", "abbreviation"), "_fundingAgency": canonical.read_entries(funders, "funder_id", "funder_name", "acronym")}
-    exact = [name for own in lists.values() for _, name, _ in own]  # of checked size
+    exact = F.broadcast(spark.createDataFrame([(name,) for own in lists.values() for _, name, _ in own], "value string"))  # of checked size
     publications = table(spark, d, "publications").select(F.lit("journal").alias("field_name"), F.col("pub_row_id").alias("row_id"), F.lit(1).alias("pos"), F.col("journal").alias("value"))
     agencies = table(spark, d, "submission_mentions").select(F.lit("_fundingAgency").alias("field_name"), F.col("sp_id").alias("row_id"), F.posexplode(F.split("_fundingAgency", "; ")).alias("_p", "value"))
     items = publications.unionByName(agencies.select("field_name", "row_id", (F.col("_p") + 1).alias("pos"), "value"))
-    cases = items.where(~is_blank(F.col("value")) & ~F.col("value").isin(*exact))
+    cases = items.where(~is_blank(F.col("value"))).join(exact, "value", "left_anti")
     return canonical.map_values(cases, lists)
 
 

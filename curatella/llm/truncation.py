@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from curatella.functions import blank, bloom, lineage
+from curatella.functions import blank, bloom, lineage, skew
 
 SHINGLE, SIMILARITY = 5, 0.8
 BANDS, ROWS = 8, 3
@@ -245,7 +245,8 @@ def cut_copies(texts: DataFrame) -> DataFrame:
 
     # called non-deterministic so that filtering on its result doesn't run it a second time
     hit = pairs.withColumn("how", how.asNondeterministic()("ta", "tb")).where("how > 0").groupBy("a").agg(F.max("how").alias("how"))
-    return named.join(hit, F.col("nid") == F.col("a")).select("key", "how")
+    # copies of one text may be a third of all rows
+    return skew.salted_join(named.select("key", "nid"), hit.withColumnRenamed("a", "nid"), ["nid"], "inner", named.count()).select("key", "how")
 
 
 def judge(df: DataFrame, key: str, text: str, source: str, within: str, certain: float = 0.15, unlikely: float = 0.5) -> DataFrame:
@@ -291,7 +292,8 @@ def judge(df: DataFrame, key: str, text: str, source: str, within: str, certain:
     # answers come back per distinct list of questions; lists repeat as phrases do
     lists = asked.select("asked", F.md5(F.concat_ws("\1", "asked")).alias("_l")).dropDuplicates(["_l"])
     answers = lists.select("_l", F.posexplode("asked").alias("_p", "_q")).join(known.withColumnRenamed("key", "_q"), "_q").groupBy("_l").agg(F.sort_array(F.collect_list(F.struct("_p", "_q", "yes", "no"))).alias("answers"))
-    told = asked.withColumn("_l", F.md5(F.concat_ws("\1", "asked"))).join(answers, "_l", "left")
+    told = asked.withColumn("_l", F.md5(F.concat_ws("\1", "asked")))
+    told = skew.salted_join(told, answers, ["_l"], "left", told.count())
     seen = F.coalesce("answers", F.array().cast("array<struct<_p:int,_q:string,yes:bigint,no:bigint>>"))
     opening = F.get(F.filter(seen, lambda x: x["_q"].startswith("o|")), F.lit(0))
     kind = F.when(F.col("kind") != "", F.col("kind")).otherwise(F.when(F.coalesce(opening["yes"] > opening["no"], F.lit(False)), F.lit("s")).otherwise(F.lit("n")))
