@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+from collections import Counter
+from difflib import SequenceMatcher
+
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -106,3 +110,63 @@ def route(found: DataFrame, name: str, kind: str, registry: DataFrame, known: li
     low = F.lower(F.trim(name))
     status = F.when(F.col("_in"), "existing").when(low.isin(*[x.lower() for x in excluded]) if excluded else F.lit(False), "excluded").when(low.isin(*[x.lower() for x in known]) if known else F.lit(False), "known").when(in_title, "novel").otherwise("review")
     return found.join(have, (low == F.col("_k")) & (F.col(kind) == F.col("_t")), "left").withColumn("status", status).drop("_k", "_t", "_in")
+
+
+def best_window(text: str, pattern: str, least: float) -> float:
+    """Best Ratcliff-Obershelp similarity of a pattern to a window of its length in a text; 0 below least."""
+    n, best = len(pattern), 0.0
+    if pattern in text:
+        return 1.0
+    matcher = SequenceMatcher(None, "", pattern, autojunk=False)
+    counts, have = Counter(pattern), Counter(text[:n])
+    for i in range(len(text) - n + 1):
+        if i:
+            have[text[i - 1]] -= 1
+            have[text[i + n - 1]] += 1
+        if sum(min(k, have[c]) for c, k in counts.items()) >= least * n:  # letters in common bound the ratio
+            matcher.set_seq1(text[i : i + n])
+            best = max(best, matcher.ratio())
+    return best if best >= least else 0.0
+
+
+#: Patterns too short for a common trigram to be sure; they go to every executor.
+MOST_SHORT = 10_000
+
+
+def fuzzy_scan(docs: DataFrame, doc: str, text: str, patterns: DataFrame, least: float = 0.88, shortest: int = 4) -> DataFrame:
+    """(doc, pattern, score): patterns (column pattern) of which a text has a window at least so alike,
+    regardless of case; each once per document.
+
+    Of a pattern of n letters at least m = ceil(least n) are matched, in at most 2 (n - m) + 1 blocks; where
+    that leaves a block of three letters, text and pattern share a trigram, by which an equi-join finds the
+    candidates. Shorter patterns, MOST_SHORT at most, are tested on every text; those of less than
+    ``shortest`` characters must stand in it as they are.
+    """
+    low = docs.where(F.col(text).isNotNull() & (F.col(text) != "")).select(F.col(doc).alias("_d"), F.lower(text).alias("_t"))
+    pats = patterns.where(F.col("pattern") != "").select("pattern", F.lower("pattern").alias("_p")).distinct()
+    n = F.length("_p")
+    m = F.ceil(F.lit(least) * n)
+    sure = (n >= shortest) & (m > 2 * (2 * (n - m) + 1))
+    grams = lambda c: F.array_distinct(F.transform(F.sequence(F.lit(1), F.greatest(F.length(c) - 2, F.lit(1))), lambda i: c.substr(i, F.lit(3))))
+    posted = pats.where(sure).select("pattern", "_p", F.explode(grams(F.col("_p"))).alias("_g"))
+    pairs = low.select("_d", F.explode(grams(F.col("_t"))).alias("_g")).join(posted, "_g").select("_d", "pattern", "_p").distinct()
+
+    @F.pandas_udf("double")
+    def score(texts: pd.Series, wanted: pd.Series) -> pd.Series:
+        return pd.Series([best_window(t, p, least) for t, p in zip(texts, wanted, strict=True)], dtype="float64")
+
+    far = pairs.join(low, "_d").withColumn("score", score.asNondeterministic()("_t", "_p")).where("score > 0").select("_d", "pattern", "score")
+    short = [(r["pattern"], r["_p"]) for r in pats.where(~sure).limit(MOST_SHORT + 1).collect()]
+    if len(short) > MOST_SHORT:
+        raise ValueError(f"more than {MOST_SHORT} short patterns")
+
+    @F.pandas_udf("array<struct<pattern:string,score:double>>")
+    def each(texts: pd.Series) -> pd.Series:
+        out = []
+        for t in texts:
+            got = ((own, best_window(t, p, least) if len(p) >= shortest else float(p in t)) for own, p in short)
+            out.append([{"pattern": own, "score": s} for own, s in got if s > 0])
+        return pd.Series(out, dtype=object)
+
+    near = low.select("_d", F.explode(each("_t")).alias("_x")).select("_d", "_x.*")
+    return far.unionByName(near).groupBy(F.col("_d").alias(doc), "pattern").agg(F.max("score").alias("score"))

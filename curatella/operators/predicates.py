@@ -95,3 +95,13 @@ def first_column(df: DataFrame, candidates: list[str]) -> str | None:
 def ensure_column(df: DataFrame, column: str, kind: str = "string") -> DataFrame:
     """The frame with the column, '' (or null of another type) where it was lacking."""
     return df if column in df.columns else df.withColumn(column, F.lit("") if kind == "string" else F.lit(None).cast(kind))
+
+
+def worth_upgrading(tools: Column, skip: list[str], confidence: float = 0.8, complete: float = 0.6) -> Column:
+    """Whether a publication's full text is worth fetching: an array of tools (verdict, confidence, toolType,
+    completeness) has an accepted one of a type not to be skipped, confident enough, and the mean of the
+    completeness values that are given is high enough (or none is given)."""
+    good = F.filter(tools, lambda t: (t["verdict"] == "Accept") & (t["confidence"] >= confidence) & (~t["toolType"].isin(*skip) if skip else F.lit(True)))
+    given = F.filter(F.transform(good, lambda t: t["completeness"]), lambda c: c.isNotNull())
+    mean = F.try_divide(F.aggregate(given, F.lit(0.0), lambda a, c: a + c), F.size(given))
+    return F.coalesce((F.size(good) > 0) & (F.coalesce(mean, F.lit(1.0)) >= complete), F.lit(False))

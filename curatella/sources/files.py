@@ -133,3 +133,15 @@ def latest_version(spark: SparkSession, folder: str) -> DataFrame:
 def merge_keys(old: DataFrame, new: DataFrame, key: str) -> DataFrame:
     """Distinct keys of both, blanks left out: a checkpoint of what is done."""
     return old.select(key).unionByName(new.select(key)).where(F.trim(key) != "").distinct()
+
+
+def merge_cache(old: DataFrame, new: DataFrame, levels: list[str], key: str = "pmid", level: str = "cache_level", at: str = "fetch_date") -> DataFrame:
+    """One document per bare key of two caches: the highest level (in order of ``levels``) wins, of equals the
+    latest; unknown levels are lowest, blank keys are left out."""
+    both = old.unionByName(new, allowMissingColumns=True).withColumn(key, F.trim(F.regexp_replace(F.coalesce(F.col(key), F.lit("")), "PMID:", "")))
+    rank = -F.coalesce(F.array_position(F.array(*(F.lit(x) for x in levels)), F.col(level)), F.lit(0))
+    ranked = both.where(F.col(key) != "").withColumn("_rank", rank).withColumn("_late", F.col(at).isNotNull())
+    newest = ranked.groupBy(key, "_rank").agg(F.max(at).alias("_at"))
+    top = newest.groupBy(key).agg(F.min(F.struct("_rank", "_at")).alias("_t")).select(key, "_t.*")
+    hits = ranked.join(top, key).where((ranked["_rank"] == top["_rank"]) & F.col(at).eqNullSafe(F.col("_at"))).select(*both.columns)
+    return keep_one(hits, [key], [at])

@@ -241,6 +241,44 @@ def test_incremental(spark, tmp_path):
     assert sorted(seen) == [1, 2, 3]
     assert [r[0] for r in incremental.pending(spark.createDataFrame([(1,), (2,), (None,)], "k int"), spark.createDataFrame([(1,), (None,)], "k int"), ["k"]).orderBy("k").collect()] == [None, 2]
 
+def test_lookup_by_containment(spark):
+    index = spark.createDataFrame([("abcdef", 1), ("xabcdefx", 2), ("humannerve", 3), ("ab", 4)], "key string, id int")
+    wanted = spark.createDataFrame([("abcdef",), ("bcde",), ("nerve",), ("ab",), ("a",), ("zzz",), ("",), (None,)], "q string")
+    got = {r["q"]: (r["id"], r["how"]) for r in resolve.containing_lookup(wanted, "q", index).collect()}
+    assert got == {"abcdef": (1, "direct"), "bcde": (1, "contains"), "nerve": (3, "prefixed"), "ab": (4, "direct")}
+    assert resolve.containing_lookup(wanted, "q", index.limit(0)).count() == 0
+
+
+def test_fuzzy_scan_equals_brute_force(spark):
+    from difflib import SequenceMatcher
+
+    texts = {1: "We used the ImageJay software and GraphPad Prisn 9.", 2: "grahpad prism", 3: "ab", 4: None, 5: "", 6: "nothing of the kind " * 20}
+    pats = ["GraphPad Prism", "ImageJ", "of", "neurofibroma model system", "used"]
+    want = set()
+    for d, t in texts.items():
+        for p in pats:
+            low, q = (t or "").lower(), p.lower()
+            wins = [low[i : i + len(q)] for i in range(len(low) - len(q) + 1)]
+            if q in low or (len(q) >= 4 and any(SequenceMatcher(None, w, q, autojunk=False).ratio() >= 0.88 for w in wins)):
+                want.add((d, p))
+    docs = spark.createDataFrame(list(texts.items()), "d int, t string")
+    got = mining.fuzzy_scan(docs, "d", "t", spark.createDataFrame([(p,) for p in [*pats, pats[0]]], "pattern string"))
+    assert {(r["d"], r["pattern"]) for r in got.collect()} == want and got.count() == len(want)
+
+
+def test_caches_and_upgrades(spark):
+    from curatella.sources import files
+
+    schema = "pmid string, cache_level string, fetch_date string, text string"
+    old = spark.createDataFrame([("PMID:1", "full", "2020", "a"), ("2", "minimal", "2020", "b"), ("3", "minimal", None, "c")], schema)
+    new = spark.createDataFrame([("1", "minimal", "2022", "d"), ("2", "minimal", "2021", "e"), ("", "full", "2022", "f"), (None, "full", "2022", "g")], schema)
+    got = {r["pmid"]: r["text"] for r in files.merge_cache(old, new, ["abstract_only", "minimal", "full"]).collect()}
+    assert got == {"1": "a", "2": "e", "3": "c"}
+    kind = "tools array<struct<verdict:string,confidence:double,toolType:string,completeness:double>>"
+    rows = [([("Accept", 0.9, "a", 0.7)],), ([("Accept", 0.9, "a", 0.5)],), ([("Accept", 0.9, "skip", 0.9)],), ([("Accept", 0.8, "a", None)],), ([],), (None,)]
+    flags = spark.createDataFrame(rows, kind).select(predicates.worth_upgrading(F.col("tools"), ["skip"]).alias("u")).collect()
+    assert [r["u"] for r in flags] == [True, False, False, True, False, False]
+
 
 @pytest.fixture(scope="module")
 def duck():
