@@ -31,6 +31,8 @@ BANDS, ROWS = 8, 3
 RUNGS = tuple(1 << k for k in range(1, 24))
 #: A length is a field limit of a source if so many times more texts have it than its neighbours on average.
 PILE, PILE_LEAST, AROUND = 6.0, 5, 8
+#: ... and if it has at least this share of the source's unfinished texts.
+PILE_SHARE = 0.001
 
 _PRIME = (1 << 61) - 1
 _rng = np.random.default_rng(7)
@@ -186,7 +188,7 @@ def field_limits(df: DataFrame, text: str, source: str) -> DataFrame:
     """(_src, measure, limit): lengths, in characters or UTF-8 bytes, at which a source's texts pile up.
 
     A length piles up if it has PILE times the average of the AROUND lengths on each side or more, those
-    of no text counted as 0, and at least PILE_LEAST texts. Texts that end alike count once, so that a
+    of no text counted as 0, and at least PILE_LEAST texts and PILE_SHARE of the source's. Texts that end alike count once, so that a
     phrase sent again and again is no pile; texts with a full stop don't count.
     """
     sizes = F.array(F.struct(F.lit("chars").alias("measure"), F.length(text).alias("n")), F.struct(F.lit("bytes").alias("measure"), F.octet_length(text).alias("n")))
@@ -194,7 +196,9 @@ def field_limits(df: DataFrame, text: str, source: str) -> DataFrame:
     counts = ends.select("_src", "_s.measure", "_s.n", "_end").distinct().groupBy("_src", "measure", "n").agg(F.count(F.lit(1)).alias("c"))
     near = Window.partitionBy("_src", "measure").orderBy("n").rangeBetween(-AROUND, AROUND)
     around = (F.sum("c").over(near) - F.col("c")) / (2 * AROUND)
-    return counts.withColumn("_around", around).where((F.col("c") >= PILE_LEAST) & (F.col("c") >= PILE * F.col("_around"))).select("_src", "measure", F.col("n").alias("limit"))
+    whole = F.sum("c").over(Window.partitionBy("_src", "measure"))
+    enough = (F.col("c") >= PILE_LEAST) & (F.col("c") >= PILE_SHARE * F.col("_whole")) & (F.col("c") >= PILE * F.col("_around"))
+    return counts.withColumn("_around", around).withColumn("_whole", whole).where(enough).select("_src", "measure", F.col("n").alias("limit"))
 
 
 def cut_copies(texts: DataFrame) -> DataFrame:
