@@ -1,8 +1,9 @@
 """Variant spellings of the names of persons, organisations and instruments, linked.
 
-Names are parsed into parts. Blocks are phonetic codes of the sorted parts (front and back halves, so
-that one slip leaves a code whole); equal parses are merged before anything is compared. Pairs within a
-block are compared by Jaro-Winkler, edits, abbreviations and a nickname table. Accepted pairs of full
+Names are parsed into parts; equal parses are merged before anything is compared. Words that are the same
+but for slips are found first, by an equi-join on what is left when letters are dropped, so that blocks
+(author, or place and surname, with what must be equal) hold every pair that the comparison can accept.
+Pairs within a block are compared by Jaro-Winkler, edits, abbreviations and a nickname table. Accepted pairs of full
 names make components; shortened names (initials, acronyms) then join a component only if it is the
 only one that fits, so that they can't tie two persons together.
 """
@@ -10,6 +11,7 @@ only one that fits, so that they can't tie two persons together.
 from __future__ import annotations
 
 import functools
+import hashlib
 import re
 from collections.abc import Iterator
 
@@ -52,19 +54,6 @@ KINDS = ("scale", "index", "inventory", "questionnaire", "checklist", "battery",
 FORMS = {"adult": "adult", "adults": "adult", "child": "child", "children": "child", "paediatric": "child", "pediatric": "child", "kids": "child", "youth": "child", "adolescent": "adolescent", "parent": "parent", "proxy": "proxy"}
 FORM_WORDS = frozenset(("form", "version", "edition", "vers", "ver"))
 
-SOUNDS = {c: d for d, letters in {"1": "bfpvw", "2": "cgjkqsxz", "3": "dt", "4": "l", "5": "mn", "6": "r"}.items() for c in letters}
-
-
-def phonetic(word: str) -> str:
-    """Consonant classes of a word in order, repeats once; vowels don't count."""
-    out = []
-    for c in word:
-        d = SOUNDS.get(c)
-        if d and (not out or out[-1] != d):
-            out.append(d)
-    return "".join(out) or word[:1]
-
-
 def jaro_winkler(a: str, b: str) -> float:
     """Jaro similarity with the common beginning (up to 4) counted once more by a tenth."""
     if a == b:
@@ -235,30 +224,80 @@ def _kind(word: str) -> str:
     return best if likeness(word, best) >= 0.55 else ""
 
 
-def halves(word: str) -> list[str]:
-    """Front and back of a word's phonetic code: one slip leaves one of them as it was."""
-    code = phonetic(word)
-    return list(dict.fromkeys((f"f{code[:3]}", f"b{code[-3:]}")))
+#: Letters up to which a word is looked up by what is left when letters are dropped; longer ones by their fifths.
+LONGEST = 22
+
 
+def slips(word: str) -> list[str]:
+    """Look-up keys of a word: any two words that same_word accepts share one.
 
-def blocks(parsed: tuple[str, str, list[str], str, str, bool]) -> list[str]:
-    """Block keys of a parsed name; names of one entity share at least one."""
+    A slip costs each of two words one letter at most, so words with m slips (as many as same_word allows
+    them) have in common what is left when up to m letters are dropped. In long words two slips spoil at most
+    four fifths (an exchange may lie across a border), and the fifth that is whole moves by two places at most.
+    """
+    n = len(word)
+    most = 0 if n < 4 else 1 if n < 7 else 2
+    out = set()
+    if n <= LONGEST:
+        out = now = {word}
+        for _ in range(most):
+            now = {w[:i] + w[i + 1 :] for w in now for i in range(len(w))}
+            out = out | now
+    if n >= LONGEST - 1:
+        for size in range(n, n + 3):  # of the longer word of a pair
+            ends = [size * i // 5 for i in range(6)]
+            for i, (start, end) in enumerate(zip(ends, ends[1:])):
+                for at in range(max(0, start - 2), min(n - (end - start), start + 2) + 1):
+                    out.add(hashlib.md5(f"{size} {i} {word[at : at + end - start]}".encode()).hexdigest())
+    return sorted(out)
+
+
+def blocks(parsed: tuple[str, str, list[str], str, str, bool]) -> list[tuple[str, str, str]]:
+    """Block keys (tag, word, also) of a parsed name: names that agree have keys of equal tags whose words are
+    the same by same_word, and whose second words are.
+
+    The tag holds what agree compares exactly: the form of instruments, the number of words of two full names,
+    the initials where one is shortened.
+    """
     kind, main, rest, extra, place, reduced = parsed
+    if kind == "person":
+        parts = main.split("-")
+        return [("p", place, w) for w in dict.fromkeys(("".join(parts), *(parts if not reduced else ())))]
+    letters = rest[0] if reduced else "".join(w[0] for w in rest)
     if kind == "instrument":
-        letters = rest[0] if reduced else "".join(w[0] for w in rest)
-        pairs = dict.fromkeys((f"<{letters[:2]}", f"{letters[-2:]}>"))
-        return [f"i|{extra}|{a}|{p}" for a in halves(main) for p in pairs]
-    if kind == "organisation":
-        letters = "".join(sorted(rest[0] if reduced else (w[0] for w in rest)))
-        codes = [] if reduced else sorted(phonetic(w)[:2] for w in rest)
-        return [f"o|{p}|{k}" for p in halves(place) for k in dict.fromkeys((letters, *codes))]
-    parts = main.split("-")
-    codes = dict.fromkeys([*halves(main), *(h for p in parts if len(parts) > 1 for h in halves(p))])
-    keys = [f"p|{p}|{m}" for p in halves(place) for m in codes]
-    keys += [f"q|{phonetic(place)}|{rest[0][:1]}|{main[:2]}", f"q|{phonetic(place)}|{rest[0][:1]}|{main[-2:]}"]
-    if not reduced:
-        keys += [f"g|{phonetic(place)}|{rest[0]}|{main[:1]}", f"g|{phonetic(place)}|{rest[0]}|{main[-2:]}"]
-    return keys
+        return [(f"i|{extra}|{t}", main, "") for t in ([letters] if reduced else [str(len(rest)), letters])]
+    letters = "".join(sorted(letters))
+    return [(f"o|{t}", place, "") for t in ([letters] if reduced else [str(len(rest)), letters])]
+
+
+def fellows(words: DataFrame) -> DataFrame:
+    """(word, fellow) of distinct words (column word), both ways: other words that same_word takes for the same."""
+
+    @F.pandas_udf("array<string>")
+    def keys(words: pd.Series) -> pd.Series:
+        return pd.Series([slips(w) for w in words], dtype=object)
+
+    @F.pandas_udf("boolean")
+    def same(a: pd.Series, b: pd.Series) -> pd.Series:
+        return pd.Series([same_word(x, y) or same_word(y, x) for x, y in zip(a, b, strict=True)], dtype="bool")
+
+    posted = lineage.cut(words.where(F.length("word") > 3).select("word", F.explode(keys("word")).alias("_s")))
+    pairs = posted.join(posted.withColumnRenamed("word", "fellow"), "_s").where(F.col("word") < F.col("fellow")).select("word", "fellow").distinct()
+    pairs = lineage.cut(pairs.where(same.asNondeterministic()("word", "fellow")))
+    return pairs.unionByName(pairs.select(F.col("fellow").alias("word"), F.col("word").alias("fellow")))
+
+
+def candidates(each: DataFrame) -> DataFrame:
+    """(nid, nid_2), the smaller first: distinct pairs of nodes with fitting block keys (nid, tag, word, also)."""
+    words = each.select("word").unionByName(each.select(F.col("also").alias("word"))).distinct()
+    near = lineage.cut(fellows(words))
+
+    def around(df: DataFrame, c: str) -> DataFrame:
+        other = df.where(F.length(c) > 3).join(near.select(F.col("word").alias(c), "fellow"), c)
+        return df.unionByName(other.withColumn(c, F.col("fellow")).drop("fellow"))
+
+    hits = around(around(each, "word"), "also").join(each.withColumnRenamed("nid", "nid_2"), ["tag", "word", "also"])
+    return hits.where(F.col("nid") < F.col("nid_2")).select("nid", "nid_2").distinct()
 
 
 def agree(a: tuple, b: tuple) -> int:
@@ -334,13 +373,13 @@ def parse(records: DataFrame, person: bool) -> DataFrame:
             for r in t:
                 parsed = parse_person(r["name"], r["more"]) if person else parse_instrument(r["name"], r["more"])
                 if parsed is not None:
-                    keys = blocks(parsed) + ([f"s|{r['same_as']}"] if r["same_as"] else [])
-                    out.append({"id": r["id"], "same_as": r["same_as"], "parsed": dict(zip(("kind", "main", "rest", "extra", "place", "reduced"), parsed, strict=True)), "keys": sorted(set(keys))})
+                    keys = blocks(parsed) + ([(f"s|{r['same_as']}", "", "")] if r["same_as"] else [])
+                    out.append({"id": r["id"], "same_as": r["same_as"], "parsed": dict(zip(("kind", "main", "rest", "extra", "place", "reduced"), parsed, strict=True)), "keys": [dict(zip(("tag", "word", "also"), k, strict=True)) for k in sorted(set(keys))]})
             if out:
                 yield pa.RecordBatch.from_pylist(out, schema=schema)
 
-    schema = pa.schema([("id", pa.int64()), ("same_as", pa.string()), ("parsed", pa.struct([("kind", pa.string()), ("main", pa.string()), ("rest", pa.list_(pa.string())), ("extra", pa.string()), ("place", pa.string()), ("reduced", pa.bool_())])), ("keys", pa.list_(pa.string()))])
-    got = records.select("id", "name", "more", "same_as").mapInArrow(run, f"id bigint, same_as string, parsed {PARSED}, keys array<string>")
+    schema = pa.schema([("id", pa.int64()), ("same_as", pa.string()), ("parsed", pa.struct([("kind", pa.string()), ("main", pa.string()), ("rest", pa.list_(pa.string())), ("extra", pa.string()), ("place", pa.string()), ("reduced", pa.bool_())])), ("keys", pa.list_(pa.struct([("tag", pa.string()), ("word", pa.string()), ("also", pa.string())])))])
+    got = records.select("id", "name", "more", "same_as").mapInArrow(run, f"id bigint, same_as string, parsed {PARSED}, keys array<struct<tag: string, word: string, also: string>>")
     return got.withColumn("nid", F.md5(F.to_json(F.struct("parsed", F.coalesce("same_as", F.lit("")).alias("s")))))
 
 
@@ -352,9 +391,8 @@ def link(parsed: DataFrame) -> DataFrame:
     """
     parsed = lineage.cut(parsed)
     nodes = lineage.cut(parsed.groupBy("nid").agg(F.first("parsed").alias("parsed"), F.first("keys").alias("keys"), F.first("same_as").alias("same_as")))
-    each = nodes.select("nid", F.explode("keys").alias("key"))
     # only ids meet in the blocks; what is compared is fetched for distinct pairs
-    pairs = each.join(each.withColumnRenamed("nid", "nid_2"), "key").where(F.col("nid") < F.col("nid_2")).select("nid", "nid_2").distinct()
+    pairs = candidates(nodes.select("nid", F.inline("keys")))
     side = nodes.select("nid", "parsed", "same_as")
     pairs = pairs.join(side, "nid").join(side.select(*(F.col(c).alias(f"{c}_2") for c in side.columns)), "nid_2")
 

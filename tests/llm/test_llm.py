@@ -1,5 +1,6 @@
 """The llm operators: small cases with edges, brute force, round trips and held-out accuracy."""
 
+import random
 from datetime import datetime
 from itertools import combinations
 
@@ -269,6 +270,35 @@ def test_instruments(spark):
     assert linked(spark, rows, person=False) == [[0, 1, 2, 3, 4], [5], [6, 7], [8], [9]]
 
 
+def test_instruments_with_slips_inside_the_author(spark):
+    """Exchanged, dropped and changed letters in the middle of an author's name, and of the words' initials."""
+    pairs = [("Lanuneze", "Lanunveze"), ("Pagrmmuka", "Pagummuka"), ("Bopembruno", "Bopemruno"), ("Kluranwiha", "Klutanwiha"), ("Sejollarpu", "Seollapru")]
+    rows = [(f"{author} Pain Interference Battery", None, None) for pair in pairs for author in pair]
+    rows += [("Didemgrime Itch Severity Questionnaire", None, None), ("Didemgrime Itch Eseverity Questionnaire", None, None), ("Didemgrime Sleep Interference Battery", None, None)]
+    assert linked(spark, rows, person=False) == [[0, 1], [2, 3], [4, 5], [6, 7], [8, 9], [10, 11], [12]]
+    people = [("Michael Osva", "University of Sotan", None), ("Michael Osva", "University of Soptan", None), ("Michael Osva", "University of Vitrel", None)]
+    assert linked(spark, people) == [[0, 1], [2]]
+
+
+def test_blocks_hold_all_that_agrees(spark):
+    """Every pair that agree accepts among names with random slips is a candidate."""
+    rng = random.Random(5)
+
+    def slip(w):
+        i, kind = rng.randrange(1, len(w) - 1), rng.randrange(4)
+        return w[:i] + {0: "", 1: "q" + w[i], 2: "z", 3: w[i + 1] + w[i]}[kind] + w[i + (2 if kind == 3 else 1) :]
+
+    authors = [a for a in ("lanuneze", "bopem", "sejollarpu", "wimo", "a" * 9 + "bcdefghijklmn", "kra" * 8) for a in (a, *(slip(a) for _ in range(6)), *(slip(slip(a)) for _ in range(6)))]
+    instruments = [("instrument", a, [slip(w) if rng.random() < 0.3 else w for w in ("pain", "interference", "battery")], "", "", False) for a in authors] + [("instrument", a, ["pib"], "", "", True) for a in authors[:40]]
+    people = [("person", rng.choice((a, f"{a}-fonri")), [rng.choice(("richard", "r"))], "", slip("zagrolkozi"), False) for a in authors]
+    people = [(*p[:5], len(p[2][0]) == 1) for p in people] + [("organisation", "", [slip(w) for w in ("disease", "biobank")], "", slip("zagrol"), False) for _ in range(20)]
+    for parsed in (instruments, people):
+        each = spark.createDataFrame([(f"{i:03}", *k) for i, p in enumerate(parsed) for k in names.blocks(p)], "nid string, tag string, word string, also string")
+        got = {(int(r[0]), int(r[1])) for r in names.candidates(each).collect()}
+        want = {(i, j) for i in range(len(parsed)) for j in range(i + 1, len(parsed)) if names.agree(parsed[i], parsed[j]) or names.agree(parsed[j], parsed[i])}
+        assert len(want) > 100 and want <= got
+
+
 def test_link_of_nothing_and_of_copies(spark):
     assert linked(spark, []) == []
     assert linked(spark, [("Ann Beewax", "University of Zagrolkozi", None)] * 50) == [list(range(50))]
