@@ -162,22 +162,28 @@ def alias_rules(text: Column, aliases: list[tuple[str, list[str]]], default: str
     return F.lit(default) if out is None else F.coalesce(out, F.lit(default))
 
 
-def containing_lookup(wanted: DataFrame, key: str, index: DataFrame, prefix: str = "human") -> DataFrame:
+def containing_lookup(wanted: DataFrame, key: str, index: DataFrame, prefix: str = "human", shortest: int = 3) -> DataFrame:
     """(key, id, how): the id of an index (key, id) entry equal to the wanted key (`direct`), else to the key
     behind ``prefix`` (`prefixed`), else of the shortest entry that contains it (`contains`, ties by key).
 
     An entry that contains a key holds all its trigrams, so only entries that share the key's rarest one are
-    tested. Keys of less than three characters are looked up directly only; keys without entry are left out.
+    tested. Of keys of one or two characters, the first entry that contains each such text is found once for all
+    and joined by equality. Keys of less than ``shortest`` characters (3, with 1 none is) are looked up directly
+    and with the prefix only. Keys without entry are left out.
     """
     keys = wanted.select(F.col(key).alias("_q")).where(F.col("_q").isNotNull() & (F.col("_q") != "")).distinct()
     have = index.select(F.col("key").alias("_k"), F.col("id").alias("_id"))
     direct = keys.join(have, F.col("_q") == F.col("_k")).select("_q", "_id", F.lit(0).alias("_r"), F.lit(0).alias("_l"), "_k")
     fronted = keys.join(have, F.concat(F.lit(prefix), F.col("_q")) == F.col("_k")).select("_q", "_id", F.lit(1).alias("_r"), F.lit(0).alias("_l"), "_k")
-    grams = lambda c: F.array_distinct(F.transform(F.sequence(F.lit(1), F.length(c) - 2), lambda i: c.substr(i, F.lit(3))))
+    grams = lambda c, n=3: F.array_distinct(F.transform(F.sequence(F.lit(1), F.length(c) - (n - 1)), lambda i: c.substr(i, F.lit(n))))
     posted = have.where(F.length("_k") > 2).select("_k", "_id", F.explode(grams(F.col("_k"))).alias("_g"))
     weight = posted.groupBy("_g").agg(F.count(F.lit(1)).alias("_w"))
-    rarest = keys.where(F.length("_q") > 2).select("_q", F.explode(grams(F.col("_q"))).alias("_g")).join(weight, "_g").groupBy("_q").agg(F.min_by("_g", F.struct("_w", "_g")).alias("_g"))
+    rarest = keys.where(F.length("_q") >= max(shortest, 3)).select("_q", F.explode(grams(F.col("_q"))).alias("_g")).join(weight, "_g").groupBy("_q").agg(F.min_by("_g", F.struct("_w", "_g")).alias("_g"))
     inside = rarest.join(posted, "_g").where(F.contains("_k", "_q")).select("_q", "_id", F.lit(2).alias("_r"), F.length("_k").alias("_l"), "_k")
-    best = direct.unionByName(fronted).unionByName(inside).groupBy("_q").agg(F.min(F.struct("_r", "_l", "_k", "_id")).alias("_b"))
+    # a letter stands in most entries: their first is an aggregate, so that a short key meets one row
+    short = have.where(F.length("_k") > 0).select("_k", "_id", F.explode(F.when(F.length("_k") > 1, F.concat(grams(F.col("_k"), 1), grams(F.col("_k"), 2))).otherwise(F.array("_k"))).alias("_g"))
+    firsts = short.groupBy("_g").agg(F.min(F.struct(F.length("_k").alias("_l"), "_k", "_id")).alias("_f"))
+    held = keys.where((F.length("_q") < 3) & (F.length("_q") >= shortest)).join(firsts, F.col("_q") == F.col("_g")).select("_q", "_f._id", F.lit(2).alias("_r"), "_f._l", "_f._k")
+    best = direct.unionByName(fronted).unionByName(inside).unionByName(held).groupBy("_q").agg(F.min(F.struct("_r", "_l", "_k", "_id")).alias("_b"))
     how = F.element_at(F.array(F.lit("direct"), F.lit("prefixed"), F.lit("contains")), F.col("_b._r") + 1)
     return best.select(F.col("_q").alias(key), F.col("_b._id").alias("id"), how.alias("how"))

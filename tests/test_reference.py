@@ -249,6 +249,13 @@ def test_lookup_by_containment(spark):
     assert resolve.containing_lookup(wanted, "q", index.limit(0)).count() == 0
 
 
+
+def test_containing_lookup_of_short_keys(spark):
+    index = spark.createDataFrame([("snf96.2", 1), ("hek293", 2), ("st88", 3), ("x", 4), ("ab", 5), ("humanq", 6), ("", 7)], "key string, id long")
+    wanted = spark.createDataFrame([("st",), ("8",), ("ek",), ("x",), ("b",), ("q",), ("zz",), ("é",), ("h",)], "q string")
+    got = {r["q"]: (r["id"], r["how"]) for r in resolve.containing_lookup(wanted, "q", index, shortest=1).collect()}
+    assert got == {"st": (3, "contains"), "8": (3, "contains"), "ek": (2, "contains"), "x": (4, "direct"), "b": (5, "contains"), "q": (6, "prefixed"), "h": (2, "contains")}
+
 def test_fuzzy_scan_equals_brute_force(spark):
     from difflib import SequenceMatcher
 
