@@ -24,13 +24,14 @@ BUCKET = 50_000
 MOST_TARGETS = 100_000
 
 
-def plan_mix(sizes: dict[str, int], targets: dict[str, tuple[float, int]], total: float | None = None) -> tuple[dict[str, float], float]:
+def plan_mix(sizes: dict[str, int], targets: dict[str, tuple[float, int]], total: float | None = None, fill: bool = False) -> tuple[dict[str, float], float]:
     """Expected copies of each document by source, and the size planned.
 
     sizes: tokens at hand; targets: (share, most repeats). Sources that have no tokens, and shares of 0
     or less, are left out and the other shares scaled to 1. total None: the largest size at which every
     source reaches its share within its repeats. A larger total caps sources at their repeats and gives
-    what they lack to the others in proportion, as far as their repeats allow.
+    what they lack to the others in proportion, as far as their repeats allow. fill: where that largest
+    size is less than all tokens at hand, the total is those, so that a scarce source can't shrink the mix.
     """
     open_ = {s: t for s, t in targets.items() if t[0] > 0 and t[1] > 0 and sizes.get(s, 0) > 0}
     if not open_:
@@ -38,6 +39,8 @@ def plan_mix(sizes: dict[str, int], targets: dict[str, tuple[float, int]], total
     whole = sum(t[0] for t in open_.values())
     if total is None:
         total = min(t[1] * sizes[s] * whole / t[0] for s, t in open_.items())
+        if fill:
+            total = max(total, sum(sizes[s] for s in open_))
     copies: dict[str, float] = {}
     left = float(total)
     while open_:
@@ -65,12 +68,13 @@ def read_targets(targets: DataFrame, source: str = "source", share: str = "targe
     return out
 
 
-def mix(sized: DataFrame, targets: dict[str, tuple[float, int]], key: str = "doc_id", total: float | None = None, seed: int = 42) -> tuple[DataFrame, DataFrame]:
+def mix(sized: DataFrame, targets: dict[str, tuple[float, int]], key: str = "doc_id", total: float | None = None, seed: int = 42, fill: bool = False) -> tuple[DataFrame, DataFrame]:
     """(emitted, shares) of documents (key, source, n_tokens).
 
     emitted: (key, source, n_tokens, copy), one row per copy from 1. shares: one row per source of either
     table, the null source among them: target_share, max_repeats, docs and tokens at hand, copies and
-    tokens emitted, actual_share, planned copies per document. Documents of unlisted or null source, and
+    tokens emitted, actual_share, planned copies per document, shortfall (what actual_share lacks of
+    target_share, 0 if nothing). total and fill: as plan_mix has them. Documents of unlisted or null source, and
     those without tokens, are not emitted. Repeated keys are documents of their own. The same seed gives
     the same mix whatever the partitioning.
     """
@@ -78,7 +82,7 @@ def mix(sized: DataFrame, targets: dict[str, tuple[float, int]], key: str = "doc
     spark = sized.sparkSession
     listed = sized.where(F.col("source").isin(*targets) & (F.col("n_tokens") > 0)) if targets else sized.limit(0)
     at_hand = {r["source"]: (r["t"], r["n"]) for r in listed.groupBy("source").agg(F.sum("n_tokens").alias("t"), F.count(F.lit(1)).alias("n")).collect()}
-    rates, _ = plan_mix({s: t for s, (t, _) in at_hand.items()}, targets, total)
+    rates, _ = plan_mix({s: t for s, (t, _) in at_hand.items()}, targets, total, fill)
     settings = [(s, *targets[s], rates.get(s, 0.0), round(rates.get(s, 0.0) * UNIT)) for s in targets]
     plan = F.broadcast(spark.createDataFrame(settings, "source string, target_share double, max_repeats int, copies_per_doc double, _units bigint"))
     buckets = max(skew.partitions(sized), math.ceil(sum(n for _, n in at_hand.values()) / BUCKET))
@@ -100,4 +104,6 @@ def mix(sized: DataFrame, targets: dict[str, tuple[float, int]], key: str = "doc
     shares = every.join(out.withColumnRenamed("source", "_src"), F.col("source") == F.col("_src"), "left").drop("_src")
     # the grand total is a window over one row per source
     shares = shares.na.fill(0, ["docs", "tokens", "copies", "tokens_out"]).withColumn("actual_share", F.try_divide(F.col("tokens_out"), F.sum("tokens_out").over(Window.partitionBy())))
+    lack = F.col("target_share") - F.coalesce("actual_share", F.lit(0.0))
+    shares = shares.withColumn("shortfall", F.when(F.col("target_share").isNotNull(), F.greatest(lack, F.lit(0.0))))
     return emitted, shares

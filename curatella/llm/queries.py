@@ -90,7 +90,7 @@ def p8_ids(spark: SparkSession, d: str) -> DataFrame:
 
 def _mix(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
     sized = tokens.encode_table(table(spark, d, "documents"), "doc_id", "text", counts_only=True, keep=("source",))
-    return mixing.mix(sized, mixing.read_targets(table(spark, d, "mix_targets")))
+    return mixing.mix(sized, mixing.read_targets(table(spark, d, "mix_targets")), fill=True)
 
 
 def p9_mix(spark: SparkSession, d: str) -> DataFrame:

@@ -389,6 +389,20 @@ def test_mix_shares_and_caps(spark):
     assert emitted.exceptAll(again).count() == 0 and emitted.count() == again.count()
 
 
+def test_scarce_source_does_not_shrink_the_mix(spark):
+    sizes, targets = {"a": 60_000, "b": 40_000, "letter": 50}, {"a": (0.57, 2), "b": (0.4, 2), "letter": (0.03, 3)}
+    rates, total = mixing.plan_mix(sizes, targets, fill=True)
+    assert total == pytest.approx(100_050) and rates["letter"] == 3.0 and rates["a"] * 60_000 / (rates["b"] * 40_000) == pytest.approx(0.57 / 0.4)
+    # where every share can be met with all tokens or more, nothing changes
+    assert mixing.plan_mix({"a": 100, "b": 100}, {"a": (0.5, 2), "b": (0.5, 3)}, fill=True) == mixing.plan_mix({"a": 100, "b": 100}, {"a": (0.5, 2), "b": (0.5, 3)})
+    docs = spark.range(10_001).select(F.col("id").alias("doc_id"), F.when(F.col("id") == 10_000, "letter").when(F.col("id") < 6000, "a").otherwise("b").alias("source"), F.when(F.col("id") == 10_000, 50).otherwise(10).alias("n_tokens"))
+    emitted, shares = mixing.mix(docs, targets | {"none": (0.01, 2)}, fill=True)
+    s = {r["source"]: r for r in shares.collect()}
+    assert sum(r["tokens_out"] for r in s.values()) == pytest.approx(100_050, abs=50) and s["letter"]["copies"] == 3
+    assert s["letter"]["shortfall"] == pytest.approx(0.03 - 150 / 100_050, abs=1e-4) and s["a"]["shortfall"] == 0.0 and s["none"]["shortfall"] == pytest.approx(0.01)
+    assert emitted.where("source = 'letter'").count() == 3
+
+
 def test_mix_emits_once_per_boundary(spark):
     docs = spark.range(1000).select(F.col("id").alias("doc_id"), F.lit("a").alias("source"), F.lit(10).alias("n_tokens"))
     emitted, _ = mixing.mix(docs, {"a": (1.0, 7)}, total=27_770)
