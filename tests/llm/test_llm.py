@@ -214,6 +214,15 @@ def test_bundles_reach_the_optimum(spark):
         assert sum(x is not None for x in h[2:4]) + (sum(x is not None for x in t[4:6]) if t else 0) == brute_force(own)
 
 
+def test_survivors_plan_stays_small(spark):
+    """Uncut, the plan repeated the groups' own for each use and outgrew the driver."""
+    cols = ("resourceId", "_pmid", "_doi", "_publicationTitle", "_year", "_usageType", "_context", "_fundingAgency", "_source")
+    rows = [(i, "r", "12", f"10.1/{i}", "t", "2020", "u", "some text", "f", "s", datetime(2024, 1, 1 + i)) for i in range(3)]
+    out = survivors.survivors(spark.createDataFrame(rows, "sp_id long, " + ", ".join(f"{c} string" for c in cols) + ", _modified timestamp"))
+    assert out._jdf.queryExecution().optimizedPlan().toString().count("Join") <= 2
+    assert [(r["group_id"], r["n_records"], r["head_id"]) for r in out.collect()] == [(0, 3, 2)]
+
+
 # ---- names
 
 
