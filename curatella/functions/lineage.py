@@ -8,11 +8,13 @@ from pyspark.sql import DataFrame, SparkSession
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The session's checkpoint folder, which all executors share; only where none is set (as in tests
-    on one machine) a temporary one is."""
+    """The session's checkpoint folder, which all executors share; only where none is set and all runs on
+    one machine, as in tests, a temporary one is. On a cluster without a folder nothing can be cut."""
     sc = spark.sparkContext
     folder = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
     if not folder:
+        if not (sc.master == "local" or sc.master.startswith("local[")):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
         folder = tempfile.mkdtemp(prefix="checkpoint-")
     if not sc.getCheckpointDir():
         sc.setCheckpointDir(folder)

@@ -1,9 +1,9 @@
 """Deeply nested records, shredded into related flat tables.
 
-A bottom-up tree automaton gives every object and array of a payload the state (shape) that its
-children allow; each variant of a shape is routed to the typed table of that shape. Rows of all tables
-share the supertype's keys: the record, the node and its parent node. Payloads are parsed once, in one
-pass over the column, without any shuffle.
+A bottom-up tree automaton gives every node of a payload its states: the shapes that it can be by the
+states of its children. A run from the root then picks one state for each node, and every object is routed
+to the typed table of its shape; the rows of all tables share the supertype's keys (record, node, parent
+node, place in the record). Payloads are parsed once, in one pass over the column, without any shuffle.
 """
 
 from __future__ import annotations
@@ -15,7 +15,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-#: Grammar of the automaton: shape -> child field -> shape; "[x]" is an array of x, "." a value.
+#: Productions of the automaton: shape -> child field -> state; "[x]" is an array of x, "." a value.
 Grammar = dict[str, dict[str, str]]
 
 # The shape of a review payload.
@@ -32,8 +32,11 @@ REVIEW: Grammar = {
     "price": {"amount": ".", "currency": "."},
     "validation": {"methods": "[.]", "result": "."},
 }
+# Types of fields that aren't texts.
+REVIEW_TYPES = {"year": "int", "toolsAccepted": "int", "confidence": "double", "age": "double", "verified": "boolean", "isCommercial": "boolean", "amount": "double"}
 
-NODE = "node_id int, parent_id int, shape string, variant string, field string, ordinal int, path string, value string, value_type string"
+NODE = "node_id int, parent_id int, shape string, variant string, field string, ordinal int, top string, top_pos int, path string, own map<string,string>, value string, value_type string"
+KEYS = ("record_id", "node_id", "parent_id", "top", "top_pos", "field", "ordinal", "path", "variant")
 
 
 def _reject(name: str):
@@ -59,78 +62,150 @@ def parse(text: str | None, levels: int = 3):
     return value if isinstance(value, dict) else None
 
 
-def _inner(value):
-    """A string that holds a JSON object or array becomes it; any other value stays."""
+def _inner(value: str):
+    """The object or array in a string that holds JSON, else None."""
+    inner = value
     for _ in range(3):
-        if not (isinstance(value, str) and value.strip()[:1] in ("{", "[", '"')):
+        if not (isinstance(inner, str) and inner.strip()[:1] in ("{", "[", '"')):
             break
         try:
-            value = _decode(value.strip())
+            inner = _decode(inner.strip())
         except (ValueError, RecursionError):
             break
-    return value
+    return inner if isinstance(inner, (dict, list)) else None
 
 
-def _state(value, wanted: str, grammar: Grammar) -> tuple[str, str]:
-    """Bottom-up state of a node and its variant: which known children it has, and in what form.
+def _form(value) -> str:
+    return "null" if value is None else "object" if isinstance(value, dict) else "array" if isinstance(value, list) else "text" if isinstance(value, str) else "bool" if isinstance(value, bool) else "number"
 
-    An object reaches the wanted shape if a known field is there, or it is empty; else it is `other`.
-    """
-    if isinstance(value, dict):
-        known = grammar.get(wanted, {})
-        seen = []
-        for name in sorted(value):
-            child = value[name]
-            form = "null" if child is None else "object" if isinstance(child, dict) else "array" if isinstance(child, list) else "text" if isinstance(child, str) else "bool" if isinstance(child, bool) else "number"
-            seen.append(f"{name if name in known else '+' + name}:{form}")
-        hit = not value or any(name in known for name in value)
-        return (wanted if known and hit else "other"), ",".join(seen)
-    return ("array" if isinstance(value, list) else "value"), ""
-
-
-def shred(root: dict, shape: str, grammar: Grammar) -> list[tuple]:
-    """Nodes of a payload, parents before children: the columns of NODE, ids from 0 in order.
-
-    A lone value where the grammar has an array counts as an array of one. Nulls and empty strings are
-    values too (value null or ''). Nodes of fields that the grammar doesn't know keep shape `other`.
-    """
-    rows: list[tuple] = []
-    stack = [(root, shape, -1, "", 0, "")]
-    while stack:
-        value, wanted, parent, field, ordinal, path = stack.pop()
-        if wanted != ".":
-            value = _inner(value)
-        if wanted.startswith("[") or isinstance(value, list):
-            items = value if isinstance(value, list) else [] if value is None else [value]
-            own = wanted[1:-1] if wanted.startswith("[") else wanted
-            stack.extend((v, own, parent, field, i, f"{path}[{i}]") for i, v in reversed(list(enumerate(items, 1))))
-            continue
-        node = len(rows)
-        if isinstance(value, dict):
-            state, variant = _state(value, wanted, grammar)
-            rows.append((node, parent, state, variant, field, ordinal, path, None, None))
-            known = grammar.get(wanted, {})
-            stack.extend((v, known.get(k, "."), node, k, 0, f"{path}.{k}" if path else k) for k, v in reversed(value.items()))
-        else:
-            kind = "null" if value is None else "boolean" if isinstance(value, bool) else "string" if isinstance(value, str) else "number"
-            text = None if value is None else value if isinstance(value, str) else json.dumps(value)
-            rows.append((node, parent, "value", "", field, ordinal, path, text, kind))
-    return rows
+
+class Automaton:
+    """Runs a grammar's productions over payloads."""
+
+    #: State of nulls and empty arrays: they fit any shape.
+    ANY = frozenset("*")
+
+    def __init__(self, grammar: Grammar) -> None:
+        self.grammar = grammar
+        self.users: dict[str, list[tuple[str, str]]] = {}
+        for shape, fields in grammar.items():
+            for name, want in fields.items():
+                self.users.setdefault(name, []).append((shape, want))
+        self.every = frozenset(grammar)
+
+    @staticmethod
+    def fits(states: frozenset[str], want: str) -> bool:
+        """Whether a child of these states will do where ``want`` is wanted: a lone value does for an array
+        of one, an array for a lone value."""
+        return "*" in states or want in states or (want[1:-1] if want[0] == "[" else f"[{want}]") in states
+
+    def of_object(self, children: dict[str, frozenset[str]]) -> frozenset[str]:
+        """Shapes of an object: those with a field that its child fits, where there is none those that know a
+        field at least; all of them if it is empty."""
+        if not children:
+            return self.every
+        fit = frozenset(shape for name, states in children.items() for shape, want in self.users.get(name, ()) if self.fits(states, want))
+        return fit or frozenset(shape for name in children for shape, _ in self.users.get(name, ()))
+
+    def run(self, root: dict) -> tuple[list, list, list, list]:
+        """Nodes, parents before children: values (JSON in strings parsed), texts of parsed strings, places
+        of the children and states, which are computed from the last node to the first."""
+        values, texts, children = [root], [None], [None]
+        at = 0
+        while at < len(values):
+            value = values[at]
+            if isinstance(value, str) and value[:1] in ("{", "[", '"', " ", "\n", "\t"):
+                inner = _inner(value)
+                if inner is not None:
+                    values[at], texts[at], value = inner, value, inner
+            if isinstance(value, (dict, list)):
+                start = len(values)
+                values.extend(value.values() if isinstance(value, dict) else value)
+                grown = len(values) - start
+                texts.extend([None] * grown)
+                children.extend([None] * grown)
+                children[at] = range(start, start + grown)
+            at += 1
+        states: list[frozenset[str]] = [self.ANY] * len(values)
+        value_state = frozenset(".")
+        for at in range(len(values) - 1, -1, -1):
+            value, own = values[at], children[at]
+            if isinstance(value, dict):
+                got = self.of_object(dict(zip(value, (states[c] for c in own), strict=True)))
+            elif isinstance(value, list):
+                got = frozenset(f"[{s}]" for c in own for s in states[c] if s != "*") or self.ANY
+            else:
+                got = self.ANY if value is None else value_state
+            states[at] = got | value_state if texts[at] is not None else got
+        return values, texts, children, states
+
+    def shape(self, value: dict, states: frozenset[str], want: str) -> str:
+        """The state picked for an object: the one its parent wants if it has it, else the one that knows
+        most of its fields, else `other`."""
+        if want in states and want in self.grammar:
+            return want
+        own = [s for s in states if s in self.grammar]
+        return max(sorted(own), key=lambda s: sum(n in self.grammar[s] for n in value)) if own and value else "other"
+
+    def shred(self, root: dict, start: str) -> list[tuple]:
+        """Rows of NODE: one for each object, and one for each value in an array. ``own`` of an object are
+        its fields that hold values; nulls are told by the variant only."""
+        values, texts, children, states = self.run(root)
+        rows: list[tuple] = []
+        # place, wanted state, parent's node, field, ordinal, top field, top ordinal, path
+        stack = [(0, start, -1, "", 0, None, None, "")]
+        while stack:
+            at, want, parent, field, ordinal, top, top_pos, path = stack.pop()
+            value, own = values[at], children[at]
+            if isinstance(value, list) and not (want == "." and texts[at] is not None):
+                item = want[1:-1] if want[0] == "[" else want
+                for i, c in reversed(list(enumerate(own, 1))):
+                    stack.append((c, item, parent, field, i, top, i if path == "" and parent == 0 and top_pos is None else top_pos, "" if parent == 0 and path == "" else f"{path}[{i}]"))
+                continue
+            if want[0] == "[":  # a lone value where the grammar has an array
+                if value is not None:
+                    stack.append((at, want[1:-1], parent, field, 1, top, 1 if path == "" and parent == 0 else top_pos, "" if parent == 0 and path == "" else f"{path}[1]"))
+                continue
+            node = len(rows)
+            if isinstance(value, dict) and not (want == "." and texts[at] is not None):
+                shape = self.shape(value, states[at], want)
+                known = self.grammar.get(shape, {})
+                mine: list[tuple[str, str]] = []
+                forms = []
+                below = []
+                for (name, child), c in zip(value.items(), own, strict=True):
+                    forms.append(f"{name if name in known else '+' + name}:{_form(child)}")
+                    wanted = known.get(name, ".")
+                    inner = values[c]
+                    if wanted[0] != "[" and (not isinstance(inner, (dict, list)) or (wanted == "." and texts[c] is not None)):
+                        if child is not None:
+                            mine.append((name, child if isinstance(child, str) else json.dumps(child)))
+                    else:
+                        below.append((c, wanted, node, name, 0, name if node == 0 else top, top_pos, "" if node == 0 else f"{path}.{name}" if path else name))
+                rows.append((node, parent, shape, ",".join(sorted(forms)), field, ordinal, top, top_pos, path, mine, None, None))
+                stack.extend(reversed(below))
+            else:
+                text = texts[at] if texts[at] is not None else value
+                rows.append((node, parent, ".", "", field, ordinal, top, top_pos, path, None, None if text is None else text if isinstance(text, str) else json.dumps(text), _form(text)))
+        return rows
 
 
 def nodes(df: DataFrame, record: str, payload: str, shape: str = "review", grammar: Grammar = REVIEW) -> DataFrame:
     """All nodes of all payloads: (record_id, NODE). Payloads that are null or broken give no rows.
 
-    Repeated deliveries of a record give repeated rows. Columns of df other than the two are ignored.
+    top and top_pos: the root's field that a node stands below, and the place in it (null where it is no
+    array); path: the way from there. Repeated deliveries of a record give repeated rows. Columns of df
+    other than the two are ignored.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        automaton = Automaton(grammar)
         for batch in batches:
             ids, out = [], []
             for rid, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
                 root = parse(text)
                 if root is not None:
-                    got = shred(root, shape, grammar)
+                    got = automaton.shred(root, shape)
                     out.extend(got)
                     ids.extend([rid] * len(got))
                 if len(out) > 50_000:
@@ -145,31 +220,67 @@ def nodes(df: DataFrame, record: str, payload: str, shape: str = "review", gramm
 
 def _batch(ids: list, rows: list[tuple], kind: pa.DataType) -> pa.RecordBatch:
     cols = list(zip(*rows, strict=True))
-    types = [pa.int32(), pa.int32(), pa.string(), pa.string(), pa.string(), pa.int32(), pa.string(), pa.string(), pa.string()]
+    text, small = pa.string(), pa.int32()
+    types = [small, small, text, text, text, small, text, small, text, pa.map_(text, text), text, text]
     names = [c.split()[0] for c in NODE.split(", ")]
     return pa.RecordBatch.from_arrays([pa.array(ids, kind), *(pa.array(c, t) for c, t in zip(cols, types, strict=True))], ["record_id", *names])
 
 
-def tables(df: DataFrame, record: str, payload: str, lists: tuple[str, ...] = ("acceptedTools",)) -> dict[str, DataFrame]:
-    """Related flat tables of review payloads: reviews, tools and extracted values.
+def _scalars(shape: str, grammar: Grammar) -> list[str]:
+    return [n for n, want in grammar.get(shape, {}).items() if want == "."]
 
-    reviews (record_id, pmid, doi, year, title, toolsAccepted); tools (record_id, list_name, tool_pos,
-    pmid, toolName, ...); values (record_id, list_name, tool_pos, leaf_path, value, value_type), whose
-    parent is the tool of the same record_id, list_name and tool_pos; shapes (record_id, list_name,
-    tool_pos, shape, variant, path, parent_path), one row per object inside a tool. Deliveries of the
-    same content count once.
+
+def _typed(shape: str, grammar: Grammar, types: dict[str, str]) -> str:
+    """SQL of a shape's struct: its values by their types, and ``untyped``, the values of other fields and
+    those that the type can't hold."""
+    names = _scalars(shape, grammar)
+    raw = lambda n: f"try_element_at(own, '{n}')"
+    value = lambda n: f"try_cast({raw(n)} AS {types[n]})" if n in types else raw(n)
+    texts = ", ".join(f"'{n}'" for n in names if n not in types) or "''"
+    held = " OR ".join([f"k IN ({texts})", *(f"(k = '{n}' AND {value(n)} IS NOT NULL)" for n in names if n in types)])
+    return f"named_struct({''.join(f"'{n}', {value(n)}, " for n in names)}'untyped', map_filter(own, (k, v) -> NOT ({held})))"
+
+
+def routed(every: DataFrame, grammar: Grammar = REVIEW, types: dict[str, str] = REVIEW_TYPES) -> DataFrame:
+    """nodes' rows, each routed to one typed subtype: a struct column per shape (and `other`), null for
+    the objects of other shapes; values of arrays keep value and value_type."""
+    kept = [c for c in every.columns if c != "own"]
+    return every.select(*kept, *(F.expr(f"CASE WHEN shape = '{s}' THEN {_typed(s, grammar, types)} END AS as_{s}") for s in (*grammar, "other")))
+
+
+def latest(df: DataFrame, record: str, payload: str, at: str | None = None) -> DataFrame:
+    """(record, payload): of each record the whole of one complete delivery, the last one by ``at`` (null is
+    oldest), of equals the one whose text has the largest hash. Records without a complete payload are left
+    out. Equal deliveries are combined before anything is compared; no delivery is blended with another."""
+    whole = F.pandas_udf(lambda s: s.map(lambda t: parse(t) is not None), "boolean").asNondeterministic()
+    when = F.col(f"`{at}`") if at else F.lit(None).cast("timestamp")
+    each = df.select(F.col(f"`{record}`").alias("_r"), F.col(f"`{payload}`").alias("_p"), when.alias("_at")).where(F.col("_p").isNotNull() & F.col("_r").isNotNull())
+    each = each.where(whole("_p")).withColumn("_h", F.xxhash64("_p"))
+    # a record's largest (time, hash) is combined in the map tasks; its text is fetched by the same aggregate
+    best = each.groupBy("_r").agg(F.max_by("_p", F.struct("_at", "_h")).alias("_p"))
+    return best.select(F.col("_r").alias(record), F.col("_p").alias(payload))
+
+
+def tables(df: DataFrame, record: str, payload: str, at: str | None = None, grammar: Grammar = REVIEW, types: dict[str, str] = REVIEW_TYPES, root: str = "review") -> dict[str, DataFrame]:
+    """Related flat tables of payloads, one per shape, of the last complete delivery of each record.
+
+    Each has the common keys (KEYS), its typed values and ``untyped``; parent_id is the node_id of the row
+    that it belongs to in the parent's table. `other` has objects of no shape, `values` the values that
+    stand in arrays (value, value_type), `nodes` all rows with their shape.
     """
-    every = nodes(df, record, payload)
-    tool = F.regexp_extract("path", r"^(\w+)\[(\d+)\]", 1)
-    inside = every.withColumn("list_name", tool).withColumn("tool_pos", F.expr(r"try_cast(regexp_extract(path, '^(\\w+)\\[(\\d+)\\]', 2) AS INT)")).where(F.col("list_name").isin(*lists))
-    rest = F.regexp_replace("path", r"^\w+\[\d+\]\.?", "")
-    flat = lambda rows, keys, path, names: rows.groupBy(*keys).agg(*(F.max(F.when(path == n, F.col("value"))).alias(n) for n in names))
-    scalars = lambda shape: [k for k, v in REVIEW[shape].items() if v == "."]
-    leaf = F.regexp_replace(rest, r"^extractedFields(\[1\](?=\.))?\.?", "")
-    extracted = inside.where(rest.startswith("extractedFields"))
-    return {
-        "reviews": flat(every.where((F.col("parent_id") == -1) | (~F.col("path").contains(".") & ~F.col("path").contains("["))), ["record_id"], F.col("path"), scalars("review")),
-        "tools": flat(inside.where(~rest.contains(".") & ~rest.contains("[")), ["record_id", "list_name", "tool_pos"], rest, scalars("tool")),
-        "values": extracted.where((F.col("shape") == "value") & F.col("value").isNotNull() & (F.col("value") != "")).select("record_id", "list_name", "tool_pos", leaf.alias("leaf_path"), "value", "value_type").where(F.col("leaf_path") != "").distinct(),
-        "shapes": extracted.where(F.col("shape") != "value").select("record_id", "list_name", "tool_pos", "shape", "variant", leaf.alias("path"), F.regexp_replace(leaf, r"\.?[^.]+$", "").alias("parent_path")).distinct(),
-    }
+    every = routed(nodes(latest(df, record, payload, at), record, payload, root, grammar), grammar, types)
+    out = {s: every.where(F.col("shape") == s).select(*KEYS, f"as_{s}.*") for s in (*grammar, "other")}
+    out["values"] = every.where(F.col("shape") == ".").select(*KEYS, "value", "value_type")
+    out["nodes"] = every.select(*KEYS, "shape")
+    return out
+
+
+def leaves(every: DataFrame, grammar: Grammar = REVIEW, types: dict[str, str] = REVIEW_TYPES) -> DataFrame:
+    """(record_id, top, top_pos, path): a row per value, other than null and '', of ``routed``: those of the
+    typed tables' columns, of their untyped rest and of arrays, in one pass over the rows."""
+    names = ["WHEN shape = '.' THEN CASE WHEN value <> '' THEN array('') ELSE array() END"]
+    for s in (*grammar, "other"):
+        own = ", ".join(f"CASE WHEN CAST(as_{s}.{n} AS STRING) <> '' THEN '{n}' END" for n in _scalars(s, grammar))
+        names.append(f"WHEN shape = '{s}' THEN concat(array_compact(array({own})), map_keys(map_filter(as_{s}.untyped, (k, v) -> v <> '')))")
+    found = f"transform(CASE {' '.join(names)} END, n -> concat_ws('.', nullif(path, ''), nullif(n, '')))"
+    return every.select("record_id", "top", "top_pos", F.explode(F.expr(found)).alias("path"))

@@ -1,7 +1,7 @@
 """References to records that do not exist when the reference is made.
 
-A broadcast Bloom filter of the parent keys proves definite orphans without any shuffle; only the
-filter-positive references go through an exact join with the parents' periods of validity, whose
+A broadcast Bloom filter of the parent keys (several, by shards of the keys, where they are many) proves
+definite orphans without any shuffle; only the filter-positive references go through an exact join with the parents' periods of validity, whose
 intervals are merged first and whose hot keys are salted. Reports aggregate with map-side combine.
 """
 
@@ -74,14 +74,14 @@ def find_orphans(refs: DataFrame, parents: dict[str, Parent], total: int, use_fi
     for field, parent in parents.items():
         own = periods(parent).withColumn("_field", F.lit(field))
         known = own if known is None else known.unionByName(own)
-    maybe = F.lit(True)
     if use_filter:
+        keys = None
         for field, parent in parents.items():
-            # the footer's row count bounds the distinct keys, and with them the size of the filter
-            test = bloom.sieve(parent.df.select(key_of(F.col(f"`{parent.key}`")).alias("_k")), "_k", parent.df.count())
-            if test is not None:
-                maybe = maybe & ((F.col("field_name") != field) | test(F.col("_key")))
-    refs = refs.withColumn("_maybe", maybe)
+            own = parent.df.select(F.lit(field).alias("_field"), key_of(F.col(f"`{parent.key}`")).alias("_k"))
+            keys = own if keys is None else keys.unionByName(own)
+        refs = bloom.sift(refs, ["field_name", "_key"], keys, ["_field", "_k"], sum(bloom.distinct_keys(p.df, [p.key]) for p in parents.values()))
+    else:
+        refs = refs.withColumn("_maybe", F.lit(True))
     keep = ["src_table", "link_id", "field_name", "_at"]
     definite = refs.where(~F.col("_maybe")).select(*keep)
     positive = refs.where("_maybe").drop("_maybe").withColumnRenamed("_key", "_pkey").withColumn("_field", F.col("field_name"))

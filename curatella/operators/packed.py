@@ -25,7 +25,8 @@ DEGREES = frozenset("phd dphil md mph msc ms ma mba bsc ba bs dr dvm dds jr sr i
 # Words that mark an organisation.
 ORGANISATION = re.compile(r"\b(?:cent(?:re|er)|institut\w*|universit\w*|univ|hospital|clinic|college|school|department|dept|division|laborator\w*|lab|foundation|trust|charity|society|council|ministry|research|consortium|network|company|corporation|inc|ltd|llc|gmbh|group|biobank|repository|core|facility|program(?:me)?|agency|academy|association)\b", re.I)
 
-MAYBE = r"[;,|/&+；¦、\n\t\r]|\sand\s|\d[.)]|^\s*[\[\"'•*-]"
+# the JVM's white space and digits here are those of Python, which has the four separators besides
+MAYBE = r"(?U)[;,|/&+；¦、\n\t\r]|[\s\x1c-\x1f]and[\s\x1c-\x1f]|\d[.)]|^[\s\x1c-\x1f]*[\[\"'“•*–·‣-]"
 ENUMERATOR = re.compile(r"(?:(?<=^)|(?<=[\s;,|]))\(?(\d{1,3})[.)](?=\s)")
 
 

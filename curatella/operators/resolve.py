@@ -6,6 +6,7 @@ have found; no operator pairs all names with all names.
 
 from __future__ import annotations
 
+import math
 from difflib import SequenceMatcher
 
 import pandas as pd
@@ -13,7 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from curatella.functions import skew
+from curatella.functions import lineage, skew
 from curatella.operators.reconcile import keep_one
 
 
@@ -102,35 +103,58 @@ def indel_ratio(a: Column, b: Column, least: float = 0.0) -> Column:
     return _pairwise(a, b, lambda p, q: 2 * common_length(p, q) / (len(p) + len(q)) if p or q else 1.0)
 
 
-def trigrams(c: Column) -> Column:
-    """Distinct character trigrams of a lower-cased, padded text."""
-    low = F.concat(F.lit("  "), F.lower(c), F.lit(" "))
-    return F.array_distinct(F.transform(F.sequence(F.lit(1), F.length(low) - 2), lambda i: low.substr(i, F.lit(3))))
+def _cuts(n: int, least: float) -> list[int]:
+    """Borders of the segments of a text of n letters: one more than letters may be unmatched in it and any
+    text as alike as ``least``."""
+    longest = math.floor(n * (2 - least) / least + 1e-9)
+    k = math.floor((1 - least) * (n + longest) + 1e-9) + 1
+    return [n * i // k for i in range(k + 1)]
 
 
-def fuzzy_pairs(left: DataFrame, right: DataFrame, name: str, other: str, least: float = 0.85, score=sequence_ratio, total: int = 1_000_000) -> DataFrame:
+def _segments(text: str, least: float) -> list[str]:
+    """Keys under which a text is found: its segments, with its length and their place."""
+    ends = _cuts(len(text), least)
+    return [f"{len(text)} {i} {text[s:e]}" for i, (s, e) in enumerate(zip(ends, ends[1:]))]
+
+
+def _lookups(text: str, least: float) -> list[str]:
+    """Keys by which a text finds all texts as alike as ``least``.
+
+    Of la + lb letters at most d = (1 - least) (la + lb) are unmatched, so that one of the other text's
+    d + 1 segments stands whole in this one, moved by no more than the unmatched letters before and behind it
+    allow.
+    """
+    n, out = len(text), set()
+    for size in range(math.ceil(n * least / (2 - least) - 1e-9), math.floor(n * (2 - least) / least + 1e-9) + 1):
+        d = math.floor((1 - least) * (n + size) + 1e-9)
+        ends = _cuts(size, least)
+        for i, (s, e) in enumerate(zip(ends, ends[1:])):
+            for move in range(-((d - (n - size)) // 2), (d + n - size) // 2 + 1):
+                if 0 <= s + move and e + move <= n:
+                    out.add(f"{size} {i} {text[s + move : e + move]}")
+    return sorted(out)
+
+
+def fuzzy_pairs(left: DataFrame, right: DataFrame, name: str, other: str, least: float = 0.85, score=sequence_ratio) -> DataFrame:
     """(name, other, score) of names at least so alike, over distinct names of both sides.
 
-    Either ratio is 2 m / (len a + len b) with m letters matched in order, so lengths agree within that
-    bound, and at most d = (1 - least) (len a + len b) letters are unmatched, which spoil at most 3 d
-    trigrams of a name. A name is therefore looked up by its 3 d + 1 rarest trigrams, and pairs more than
-    d edits apart are dropped in the JVM; only the rest is scored.
+    Either ratio is 2 m / (len a + len b) with m letters matched in order. A name meets only those that hold
+    one of its segments near the same place (see _lookups); pairs with too many edits are dropped in the
+    JVM, and only the rest is scored. Nulls and blanks have no partners. ``least`` is more than 0.
     """
     a = left.select(F.col(name)).where(F.col(name).isNotNull() & (F.trim(name) != "")).distinct()
     b = right.select(F.col(other)).where(F.col(other).isNotNull() & (F.trim(other) != "")).distinct()
-    lower = b.select(other, F.explode(trigrams(F.col(other))).alias("_g"))
-    weight = lower.groupBy("_g").agg(F.count(F.lit(1)).alias("_w"))
-    mine = a.select(name, F.explode(trigrams(F.col(name))).alias("_g")).join(weight, "_g")
-    la, lb = F.length(name), F.length(other)
-    longest = la * F.lit((2 - least) / least)  # of a partner within the bound
-    need = F.floor(3 * (1 - F.lit(least)) * (la + longest)) + 1
-    rank = F.row_number().over(Window.partitionBy(name).orderBy("_w", "_g"))
-    mine = mine.withColumn("_r", rank).where(F.col("_r") <= need).select(name, "_g")
-    bound = 2 * F.least(la, lb) >= F.lit(least) * (la + lb)
-    pairs = skew.salted_join(mine, lower, ["_g"], "inner", total, bound).select(name, other)
+    a, b = lineage.cut(a), lineage.cut(b)
+    n, m = a.count(), b.count()
+    keyed = lambda df, c, f: df.repartition(skew.partitions(left)).select(c, F.explode(F.pandas_udf(lambda s: s.map(lambda x: f(x.lower(), least)), "array<string>").asNondeterministic()(c)).alias("_g")).select(c, F.xxhash64("_g").alias("_g"))
+    # whoever is looked up has few keys, so the shorter list looks up; the relation is symmetric
+    mine, found = keyed(a, name, _lookups if n <= m else _segments), keyed(b, other, _segments if n <= m else _lookups)
+    mine = lineage.cut(mine)
+    la, lb = F.length(F.lower(name)), F.length(F.lower(other))
+    pairs = skew.salted_join(mine, found, ["_g"], "inner", mine.count()).select(name, other)
     # few bytes, but much to compute: a fixed number of partitions, and the edits after the duplicates went
     pairs = pairs.repartition(skew.partitions(left), name, other).groupBy(name, other).agg(F.count(F.lit(1)).alias("_c"))
-    pairs = pairs.where(F.levenshtein(F.lower(name), F.lower(other)) <= (1 - F.lit(least)) * (la + lb) * F.least(F.col("_c"), F.lit(1))).drop("_c")
+    pairs = pairs.where(F.levenshtein(F.lower(name), F.lower(other)) <= (1 - F.lit(least)) * (la + lb) * F.least(F.col("_c"), F.lit(1)) + 1e-9).drop("_c")
     return pairs.withColumn("score", score(F.col(name), F.col(other), least)).where(F.col("score") >= least)
 
 

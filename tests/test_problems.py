@@ -1,5 +1,7 @@
 """The general problems against brute force and small cases, edge cases among them."""
 
+import json
+import re
 from datetime import datetime
 
 import duckdb
@@ -8,6 +10,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
+from curatella.functions import bloom
 from curatella.operators import nested, orphans, packed
 from curatella.plans import problems
 
@@ -141,6 +144,21 @@ def test_tokenizer_never_fails_and_leaves_no_blank(text, people):
     assert all(v.strip() for v in packed.tokenize(text, people))
 
 
+@settings(max_examples=400, deadline=None)
+@given(st.lists(st.sampled_from(["a", "and", " ", "\xa0", "\x1c", "\x85", "\u2003", "\u3000", ";", ",", "1.", "\u0661.", "2)", "“", '"', "[", "]", "x", "•", "-", "/", "&"]), max_size=9), st.booleans())
+def test_cells_of_several_values_pass_the_prefilter(parts, people):
+    """What the JVM's pattern leaves out never holds two values; Python's own Unicode classes stand in for it."""
+    cell = "".join(parts)
+    if len(packed.tokenize(cell, people)) > 1:
+        assert re.search(packed.MAYBE.removeprefix("(?U)"), cell)
+
+
+def test_odd_white_space_around_and(spark):
+    cells = [f"TP53 loss{s}and{s}NF1 loss" for s in (" ", "\xa0", "\x85", "\u2003", "\u3000", "\x1c", "\x1f")]
+    df = spark.createDataFrame([(str(i), c) for i, c in enumerate(cells)], "k string, c string")
+    assert packed.split_values(df, "k", {"c": False}).count() == 2 * len(cells)
+
+
 def test_split_values_edges(spark):
     long = "; ".join(["x" * 1000] * 300)
     rows = [("a", "p;q", "Ann Bee; Cid Dee", 1), ("a", "p;q", "Ann Bee; Cid Dee", 1), ("b", None, "", 2), (None, "r;r", None, 3), ("c", long, "x", 4)]
@@ -157,33 +175,83 @@ PAYLOAD = """{"pmid": "1", "acceptedTools": [{"toolName": "t", "extractedFields"
  {"toolName": "u", "extractedFields": "{\\"species\\": \\"Human\\"}"}, null, {"toolName": "w", "extractedFields": {}}], "rejectedTools": [{"extractedFields": {"species": "no"}}]}"""
 
 
+def leaves(spark, rows, schema="rid long, payload string, record_id int"):
+    every = nested.routed(nested.nodes(spark.createDataFrame(rows, schema), "rid", "payload"))
+    return sorted(((r["record_id"], r["top"], r["top_pos"], r["path"]) for r in nested.leaves(every).collect()), key=repr)
+
+
 def test_nested_values(spark):
-    rows = [(1, PAYLOAD, 9), (1, PAYLOAD, 9), (2, PAYLOAD[:-1], 9), (3, None, 9), (4, "", 9), (5, "[]", 9), (6, '"x"', 9), (7, '{"acceptedTools": {"extractedFields": {"species": NaN}}}', 9), (8, '{"acceptedTools": {"extractedFields": {"extra": {"deep": [1, [2]]}}}}', 9)]
+    rows = [(1, PAYLOAD, 9), (2, PAYLOAD[:-1], 9), (3, None, 9), (4, "", 9), (5, "[]", 9), (6, '"x"', 9), (7, '{"acceptedTools": {"extractedFields": {"species": NaN}}}', 9), (8, '{"acceptedTools": {"extractedFields": {"extra": {"deep": [1, [2]]}}}}', 9)]
+    one = lambda k, path: (1, "acceptedTools", k, path)
+    e = "extractedFields."
+    assert leaves(spark, rows) == sorted([
+        (1, None, None, "pmid"), one(1, "toolName"), one(2, "toolName"), one(4, "toolName"),
+        *(one(1, e + p) for p in ("isCommercial", "mutations[2].alleles[1].allele", "mutations[2].gene", "synonyms[1]", "vendors[1].items[1].catalogNumber", "vendors[1].items[1].price.amount", "vendors[1].vendorName")),
+        one(2, e + "species"), (1, "rejectedTools", 1, e + "species"),
+        (8, "acceptedTools", 1, e + "extra.deep[1]"), (8, "acceptedTools", 1, e + "extra.deep[2][1]"),
+    ], key=repr)
+
+
+def test_nested_typed_tables(spark):
+    rows = [(1, PAYLOAD, 9), (1, PAYLOAD, 9), (2, None, 9)]
     t = nested.tables(spark.createDataFrame(rows, "rid long, payload string, record_id int"), "rid", "payload")
-    got = sorted((r["record_id"], r["tool_pos"], r["leaf_path"], r["value"]) for r in t["values"].collect())
-    assert got == [
-        (1, 1, "isCommercial", "false"),
-        (1, 1, "mutations[2].alleles[1].allele", "a"),
-        (1, 1, "mutations[2].gene", "NF1"),
-        (1, 1, "synonyms[1]", "X"),
-        (1, 1, "vendors[1].items[1].catalogNumber", "c"),
-        (1, 1, "vendors[1].items[1].price.amount", "1.5"),
-        (1, 1, "vendors[1].vendorName", "V"),
-        (1, 2, "species", "Human"),
-        (8, 1, "extra.deep[1]", "1"),
-        (8, 1, "extra.deep[2][1]", "2"),
-    ]
-    tools = {(r["record_id"], r["tool_pos"]): r["toolName"] for r in t["tools"].collect()}
-    assert tools[(1, 1)] == "t" and tools[(1, 4)] == "w" and [r["pmid"] for r in t["reviews"].where("record_id = 1").collect()] == ["1"]
-    shapes = {(r["shape"], r["path"], r["parent_path"]) for r in t["shapes"].where("record_id = 1 AND tool_pos = 1").collect()}
-    assert ("price", "vendors[1].items[1].price", "vendors[1].items[1]") in shapes and ("allele", "mutations[2].alleles[1]", "mutations[2]") in shapes
+    assert {s: t[s].count() for s in t if s != "nodes"} == {"review": 1, "tool": 4, "fields": 4, "donor": 0, "diagnosis": 0, "mutation": 1, "allele": 1, "vendor": 1, "item": 1, "price": 1, "validation": 0, "other": 0, "values": 3}
+    price, item, vendor, fields = (t[s].where("top = 'acceptedTools' AND top_pos = 1").collect()[0] for s in ("price", "item", "vendor", "fields"))
+    assert price["amount"] == 1.5 and price["currency"] is None and dict(t["price"].dtypes)["amount"] == "double"
+    assert (price["parent_id"], item["parent_id"], vendor["parent_id"]) == (item["node_id"], vendor["node_id"], fields["node_id"])
+    assert fields["isCommercial"] is False and [r["toolName"] for r in t["tool"].where("top = 'acceptedTools'").orderBy("top_pos").collect()] == ["t", "u", "w"]
+    assert [(r["field"], r["ordinal"], r["value"], r["parent_id"] == fields["node_id"]) for r in t["values"].where("value IS NOT NULL AND top_pos = 1").collect()] == [("synonyms", 1, "X", True)]
+
+
+def test_states_come_from_the_children():
+    run = lambda text: nested.Automaton(nested.REVIEW).run(json.loads(text))[3][0]
+    assert run('{"amount": 1}') == {"price"}
+    assert run('{"price": {"currency": "EUR"}}') == {"item"}
+    assert run('{"pmid": {"gene": "x"}, "sex": "f"}') == {"donor"}  # a child that is no value makes no review
+    assert run('{"price": {"gene": "x"}}') == {"item"} and run('{"cost": 1}') == frozenset()
+    assert run('{"items": [{"price": {"amount": 1}}]}') == {"vendor"} and run('{"items": {"price": {"amount": 1}}}') == {"vendor"}
+    assert run('{"items": [{"gene": "x"}], "gene": "y"}') == {"mutation"} and run('{"items": []}') == {"vendor"}
+    assert run('{"alleles": null}') == {"mutation"} and run("{}") == set(nested.REVIEW)
+    assert run('{"pmid": "1"}') == {"review", "tool"}  # the run from the root tells which
+
+
+def test_nested_keeps_what_the_type_cannot_hold(spark):
+    rows = [(1, '{"acceptedTools": [{"toolName": "t", "confidence": "high", "extractedFields": {"donor": {"age": "12 y", "sex": "f", "hue": "x"}, "validation": "passed", "methods": {"allele": "a"}}}]}')]
+    t = nested.tables(spark.createDataFrame(rows, "rid long, payload string"), "rid", "payload")
+    donor, tool = t["donor"].collect()[0], t["tool"].collect()[0]
+    assert donor["age"] is None and donor["untyped"] == {"age": "12 y", "hue": "x"} and tool["confidence"] is None and tool["untyped"] == {"confidence": "high"}
+    assert t["fields"].collect()[0]["untyped"] == {"validation": "passed"} and t["allele"].collect()[0]["path"] == "extractedFields.methods"
+    assert [x[3] for x in leaves(spark, [(1, rows[0][1], 0)])] == ["confidence", "extractedFields.donor.age", "extractedFields.donor.hue", "extractedFields.donor.sex", "extractedFields.methods.allele", "extractedFields.validation", "toolName"]
+
+
+def test_one_delivery_is_taken_whole(spark):
+    rows = [(1, '{"doi": "z", "year": 2001, "title": "B"}', "2020-01-02"), (1, '{"doi": "a", "year": 2009, "title": "A"}', "2020-01-03"), (1, '{"doi": "b", "ye', "2020-01-04"), (1, '{"doi": "y", "title": "Z"}', None)]
+    t = nested.tables(spark.createDataFrame(rows, "rid long, payload string, got string"), "rid", "payload", "got")
+    assert [(r["doi"], r["year"], r["title"]) for r in t["review"].collect()] == [("a", 2009, "A")]
 
 
 def test_nested_empty_and_deep(spark):
     deep = '{"acceptedTools": [{"extractedFields": {"donor": ' + '{"x": ' * 200 + "1" + "}" * 200 + "}}]}"
+    assert len(leaves(spark, [(1, deep, 0)])) == 1
     df = spark.createDataFrame([(1, deep)], "rid long, payload string")
-    assert nested.tables(df, "rid", "payload")["values"].count() == 1
-    assert nested.tables(df.limit(0), "rid", "payload")["values"].count() == 0
+    assert all(t.count() == 0 for t in nested.tables(df.limit(0), "rid", "payload").values())
+
+
+def test_sieve_keeps_its_method_beyond_one_filter(spark):
+    """20 million parents need more than one filter of 2^26 bits: all references to them stay, and nearly
+    all others are proved orphans without the exact join."""
+    parents = spark.range(20_000_000).select(F.concat(F.lit("p"), "id").alias("k"))
+    refs = spark.range(400_000).select(F.when(F.col("id") % 2 == 0, F.concat(F.lit("p"), F.col("id") * 49)).otherwise(F.concat(F.lit("q"), "id")).alias("v"), (F.col("id") % 2 == 0).alias("there"))
+    got = {(r["there"], r["_maybe"]): r["n"] for r in bloom.sift(refs, ["v"], parents, ["k"], 20_000_000).groupBy("there", "_maybe").agg(F.count(F.lit(1)).alias("n")).collect()}
+    assert got[(True, True)] == 200_000 and (True, False) not in got and got[(False, True)] < 0.06 * 200_000
+
+
+def test_sieve_in_passes(spark):
+    keys = spark.range(4000).select(F.col("id").cast("string").alias("k")).unionByName(spark.createDataFrame([(None,)], "k string"))
+    refs = spark.createDataFrame([(str(i),) for i in range(0, 8000, 7)] + [(None,), ("x",)], "v string")
+    got = bloom.sift(refs, ["v"], keys, ["k"], shard_bits=4096, shards_a_pass=2).collect()
+    assert len(got) == refs.count() and all(r["_maybe"] for r in got if r["v"] and r["v"].isdigit() and int(r["v"]) < 4000)
+    assert not any(r["_maybe"] for r in got if r["v"] is None) and sum(not r["_maybe"] for r in got) > 500
 
 
 @pytest.fixture(scope="module")
