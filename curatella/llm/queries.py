@@ -48,8 +48,9 @@ def p3_rates(spark: SparkSession, d: str) -> DataFrame:
 
 
 def p4_found(spark: SparkSession, d: str) -> DataFrame:
-    """Groups of records of one mention: the record kept and the one whose context survives."""
-    return survivors.choose(survivors.assign(table(spark, d, "submission_mentions"))).select("group_id", "keep_id", "context_id")
+    """Groups of records of one mention: the record kept and the one whose context survives, from the search
+    that settles all bundles."""
+    return survivors.settle(survivors.assign(table(spark, d, "submission_mentions"))).select("group_id", "keep_id", "context_id")
 
 
 def p4_survivors(spark: SparkSession, d: str) -> DataFrame:
@@ -90,7 +91,7 @@ def p8_ids(spark: SparkSession, d: str) -> DataFrame:
 
 def _mix(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
     sized = tokens.encode_table(table(spark, d, "documents"), "doc_id", "text", counts_only=True, keep=("source",))
-    return mixing.mix(sized, mixing.read_targets(table(spark, d, "mix_targets")), fill=True)
+    return mixing.mix(sized, table(spark, d, "mix_targets"), fill=True)
 
 
 def p9_mix(spark: SparkSession, d: str) -> DataFrame:
@@ -138,8 +139,7 @@ def _blank_sql(c: str) -> str:
 
 _COUNT = " + ".join(f"(NOT {_blank_sql(c)})::INT" for c in survivors.MENTIONS.filled)
 
-ORACLE = {
-    "p4_found": f"""
+_GROUPS = f"""
 WITH r AS (
   SELECT *, CASE WHEN NOT {_blank_sql("_pmid")} AND regexp_matches(_pmid, '[0-9]') THEN coalesce(nullif(ltrim(regexp_extract(_pmid, '[0-9]+'), '0'), ''), '0') END AS num,
     CASE WHEN NOT {_blank_sql("_context")} THEN regexp_replace(lower(_context), {_SPACE}, '', 'g') END AS txt
@@ -157,8 +157,44 @@ ranked AS (
   SELECT *, row_number() OVER (PARTITION BY resourceId, gkey ORDER BY ({_COUNT}) DESC, _modified DESC NULLS LAST, sp_id) AS keep_rank,
     CASE WHEN txt IS NULL THEN NULL ELSE length(trim(regexp_replace(_context, {_SPACE}, ' ', 'g'))) END AS len
   FROM g WHERE gkey IS NOT NULL),
-ctx AS (SELECT resourceId, gkey, sp_id, row_number() OVER (PARTITION BY resourceId, gkey ORDER BY len DESC, sp_id) AS ctx_rank FROM ranked WHERE len IS NOT NULL)
+ctx AS (SELECT resourceId, gkey, sp_id, row_number() OVER (PARTITION BY resourceId, gkey ORDER BY len DESC, sp_id) AS ctx_rank FROM ranked WHERE len IS NOT NULL)"""
+
+_VALUE = lambda a, c: f"CASE WHEN NOT {_blank_sql(f'{a}.{c}')} THEN {a}.{c} END AS {c}"
+_ORDER = "ORDER BY s DESC, _modified DESC NULLS LAST, sp_id"
+_BUNDLES = {"head": survivors.MENTIONS.head, "tail": survivors.MENTIONS.tail} | {f"free{i}": own for i, own in enumerate(survivors.MENTIONS.free, 1)}
+_WORDS = " ".join(f"WHEN '{w}' THEN {t}" for w, t in survivors.TRUST.items())
+_N = lambda cols: " + ".join(f"(NOT {_blank_sql(c)})::INT" for c in cols)
+
+ORACLE = {
+    "p4_found": _GROUPS
+    + """
 SELECT min(a.sp_id) AS group_id, max(CASE WHEN keep_rank = 1 THEN a.sp_id END) AS keep_id, coalesce(max(c.sp_id), -1) AS context_id
 FROM ranked a LEFT JOIN ctx c ON c.ctx_rank = 1 AND c.resourceId = a.resourceId AND c.gkey = a.gkey
 GROUP BY a.resourceId, a.gkey HAVING count(*) > 1""",
+    "p4_survivors": _GROUPS
+    + f""",
+kept AS (
+  SELECT a.resourceId, a.gkey, count(*) AS n_records, min(a.sp_id) AS group_id, max(CASE WHEN keep_rank = 1 THEN a.sp_id END) AS keep_id, max(c.sp_id) AS context_id
+  FROM ranked a LEFT JOIN ctx c ON c.ctx_rank = 1 AND c.resourceId = a.resourceId AND c.gkey = a.gkey
+  GROUP BY a.resourceId, a.gkey HAVING count(*) > 1),
+w AS (
+  SELECT *, 1 + round(1000 * coalesce(CASE WHEN TRY_CAST(_confidence AS DOUBLE) BETWEEN 0 AND 1 THEN TRY_CAST(_confidence AS DOUBLE) END, CASE lower(trim(_confidence)) {_WORDS} END, {survivors.UNTOLD}))::BIGINT AS w,
+    CASE WHEN NOT {_blank_sql("_doi")} THEN lower(trim(_doi)) END AS det
+  FROM ranked),
+{", ".join(f"{b} AS (SELECT * FROM (SELECT resourceId, gkey, sp_id, _modified, det, s, row_number() OVER (PARTITION BY resourceId, gkey{', det' if b in ('head', 'tail') else ''} {_ORDER}) AS rn FROM (SELECT *, w * ({_N(cols)}) AS s FROM w WHERE {_N(cols)} > 0)) WHERE rn = 1)" for b, cols in _BUNDLES.items())},
+fit AS (
+  SELECT h.resourceId, h.gkey, h.sp_id AS head_id, t.sp_id AS tail_id,
+    row_number() OVER (PARTITION BY h.resourceId, h.gkey ORDER BY h.s + coalesce(t.s, 0) DESC, h.s DESC, h._modified DESC NULLS LAST, h.sp_id, t.s DESC NULLS LAST, t._modified DESC NULLS LAST, t.sp_id) AS rn
+  FROM head h LEFT JOIN tail t ON t.resourceId = h.resourceId AND t.gkey = h.gkey AND (h.det IS NULL OR t.det IS NULL OR h.det = t.det)),
+only_tail AS (SELECT resourceId, gkey, sp_id AS tail_id, row_number() OVER (PARTITION BY resourceId, gkey {_ORDER}) AS rn FROM tail),
+ids AS (
+  SELECT k.group_id, k.n_records, k.keep_id, coalesce(k.context_id, -1) AS context_id, coalesce(f.head_id, -1) AS head_id, coalesce(CASE WHEN f.head_id IS NULL THEN o.tail_id ELSE f.tail_id END, -1) AS tail_id,
+    coalesce(a.sp_id, -1) AS free1_id, coalesce(b.sp_id, -1) AS free2_id
+  FROM kept k
+  LEFT JOIN fit f ON f.rn = 1 AND f.resourceId = k.resourceId AND f.gkey = k.gkey
+  LEFT JOIN only_tail o ON o.rn = 1 AND o.resourceId = k.resourceId AND o.gkey = k.gkey
+  LEFT JOIN free1 a ON a.resourceId = k.resourceId AND a.gkey = k.gkey LEFT JOIN free2 b ON b.resourceId = k.resourceId AND b.gkey = k.gkey)
+SELECT i.*, {_VALUE("h", "_pmid")}, {_VALUE("h", "_doi")}, {_VALUE("t", "_publicationTitle")}, {_VALUE("t", "_year")}, {_VALUE("c", "_context")}, {_VALUE("u", "_usageType")}, {_VALUE("g", "_fundingAgency")}
+FROM ids i LEFT JOIN submission_mentions h ON h.sp_id = i.head_id LEFT JOIN submission_mentions t ON t.sp_id = i.tail_id LEFT JOIN submission_mentions c ON c.sp_id = i.context_id
+LEFT JOIN submission_mentions u ON u.sp_id = i.free1_id LEFT JOIN submission_mentions g ON g.sp_id = i.free2_id""",
 }

@@ -2,8 +2,8 @@
 
 Forced-boundary splitting: two bytes that stand side by side in no token of the vocabulary can't end up
 in one token, so the text may be cut between them and the fragments encoded independently. The cuts
-are found for whole batches of texts by one table lookup per byte; fragments of long texts are encoded
-in bounded batches, so that memory and time grow in proportion to the text however long it is.
+are found by one table lookup per byte, in texts of any length; fragments are encoded in bounded batches, so
+that memory and time grow in proportion to the text however long it is.
 """
 
 from __future__ import annotations
@@ -25,8 +25,8 @@ VOCABULARIES = os.environ.get("TOKENIZER_DIR", "/opt/tokenizers")
 # Fixed value: the pattern that splits text before the merges of the rank files.
 PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 
-#: A fragment is cut again only when it is longer than this many bytes; shorter cuts would save nothing.
-LEAST = 64
+#: Bytes of a fragment at least, but for the last of a text.
+LEAST = 48
 
 
 def _folder(folder: str) -> str:
@@ -81,10 +81,8 @@ def cuts(data: np.ndarray, inside: np.ndarray) -> np.ndarray:
 
 
 def fragments(text: str, inside: np.ndarray, least: int = LEAST) -> list[str]:
-    """The text cut at forced boundaries into pieces of at least ``least`` bytes where it allows."""
+    """The text cut at forced boundaries into pieces of at least ``least`` bytes (the last may be shorter)."""
     raw = text.encode("utf-8", "surrogatepass")
-    if len(raw) < 2 * least:
-        return [text]
     places = cuts(np.frombuffer(raw, np.uint8), inside)
     if not len(places):
         return [text]
@@ -106,11 +104,8 @@ def encode(texts: list[str | None], name: str = "byte_bpe_50k", folder: str = VO
         if not text:
             yield np.zeros(0, np.int32)
             continue
-        if len(text) < 4 * LEAST:
-            yield np.asarray(encoding.encode_ordinary(text), np.int32)
-            continue
         parts, batch, size = [], [], 0
-        for f in fragments(text, inside, LEAST if len(text) < 1 << 16 else 4096):
+        for f in fragments(text, inside):
             batch.append(f)
             size += len(f)
             if size > batch_bytes:

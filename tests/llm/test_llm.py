@@ -7,7 +7,7 @@ from itertools import combinations
 import duckdb
 import pyarrow.parquet as pq
 import pytest
-from hypothesis import given, settings
+from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
@@ -138,11 +138,11 @@ def test_signatures_find_near_copies():
 # ---- survivors
 
 AT = datetime(2020, 1, 1)
-SCHEMA = "sp_id long, resourceId string, _pmid string, _doi string, _publicationTitle string, _year string, _usageType string, _context string, _fundingAgency string, _modified timestamp_ntz, _source string, _gkey string, _num int"
+SCHEMA = "sp_id long, resourceId string, _pmid string, _doi string, _publicationTitle string, _year string, _usageType string, _context string, _fundingAgency string, _modified timestamp_ntz, _source string, _confidence string, _gkey string, _num int"
 
 
-def mention(i, res="R", pmid=None, doi=None, title=None, year=None, use=None, ctx=None, fund=None, at=AT):
-    return (i, res, pmid, doi, title, year, use, ctx, fund, at, "s", "clash", 0)
+def mention(i, res="R", pmid=None, doi=None, title=None, year=None, use=None, ctx=None, fund=None, at=AT, conf=None):
+    return (i, res, pmid, doi, title, year, use, ctx, fund, at, "s", conf, "clash", 0)
 
 
 def test_groups(spark):
@@ -163,10 +163,10 @@ def test_groups(spark):
         mention(13, res="T", pmid="none known"),
     ]
     df = spark.createDataFrame(rows, SCHEMA)
-    got = sorted((r["group_id"], r["n_records"], r["keep_id"], r["context_id"]) for r in survivors.choose(survivors.assign(df)).collect())
+    got = sorted((r["group_id"], r["n_records"], r["keep_id"], r["context_id"]) for r in survivors.settle(survivors.assign(df)).collect())
     assert got == [(1, 3, 2, 1), (5, 2, 5, -1), (10, 2, 10, 11)]
-    assert survivors.choose(survivors.assign(df.limit(0))).count() == 0
-    twice = survivors.choose(survivors.assign(df.union(df)))
+    assert survivors.settle(survivors.assign(df.limit(0))).count() == 0
+    twice = survivors.settle(survivors.assign(df.union(df)))
     assert twice.where("group_id = 4").first()["n_records"] == 2
 
 
@@ -184,9 +184,13 @@ def test_bundles_agree(spark):
     assert (got[4]["_doi"], got[4]["_fundingAgency"], got[4]["_context"]) == ("a", "F", None)
 
 
+def weight_of(r):
+    return 1 + round(1000 * (float(r[11]) if r[11] and r[11][0].isdigit() else {"high": 0.9, "low": 0.3}.get(r[11], 0.5)))
+
+
 def brute_force(rows, head=(2, 3), tail=(4, 5)):
-    """Best agreeing (head, tail) of one group by trying all: filled fields, then dates, then small ids."""
-    fill = lambda r, cols: sum(r[c] is not None for c in cols)
+    """Trust of the best agreeing (head, tail) of one group, by trying all."""
+    fill = lambda r, cols: weight_of(r) * sum(r[c] is not None for c in cols)
     best = None
     for h in rows:
         for t in [*rows, None]:
@@ -203,7 +207,7 @@ def test_bundles_reach_the_optimum(spark):
     rnd, rows, groups = random.Random(5), [], {}
     for i in range(1, 400):
         g = str(i % 60 + 1)
-        r = mention(i, pmid=g, doi=rnd.choice([None, "a", "b", "c"]), title=rnd.choice([None, "t"]), year=rnd.choice([None, "y"]), at=datetime(2020, 1, rnd.randint(1, 28)))
+        r = mention(i, pmid=g, doi=rnd.choice([None, "a", "b", "c"]), title=rnd.choice([None, "t"]), year=rnd.choice([None, "y"]), at=datetime(2020, 1, rnd.randint(1, 28)), conf=rnd.choice([None, "high", "low", "0.8", "1.0", "", "0"]))
         rows.append(r)
         groups.setdefault(g, []).append(r)
     by_id = {r[0]: r for r in rows}
@@ -211,7 +215,18 @@ def test_bundles_reach_the_optimum(spark):
         own = groups[str(int(by_id[r["group_id"]][2]))]
         h, t = by_id[r["head_id"]], by_id.get(r["tail_id"])
         assert t is None or not h[3] or not t[3] or h[3] == t[3]
-        assert sum(x is not None for x in h[2:4]) + (sum(x is not None for x in t[4:6]) if t else 0) == brute_force(own)
+        assert weight_of(h) * sum(x is not None for x in h[2:4]) + (weight_of(t) * sum(x is not None for x in t[4:6]) if t else 0) == brute_force(own)
+
+
+def test_trust_decides(spark):
+    rows = [mention(1, pmid="1", doi="a", title="t", conf="0.1"), mention(2, pmid="1", doi="b", conf="high"), mention(3, pmid="1", title="u", conf="0.2", at=None)]
+    df = spark.createDataFrame(rows, SCHEMA)
+    got = survivors.survivors(df).first()
+    assert (got["head_id"], got["tail_id"], got["_doi"], got["_publicationTitle"]) == (2, 3, "b", "u")
+    # a distrusted source loses its say
+    rows.append((*mention(4, pmid="1", doi="c", conf="1.0")[:10], "bad", "1.0", None, 0))
+    df = spark.createDataFrame(rows, SCHEMA)
+    assert survivors.survivors(df).first()["head_id"] == 4 and survivors.survivors(df, trust={"bad": 0.1}).first()["head_id"] == 2
 
 
 def test_survivors_plan_stays_small(spark):
@@ -384,17 +399,56 @@ def test_plan_mix():
     assert mixing.plan_mix({}, {"a": (1.0, 1)}) == ({}, 0.0)
 
 
+def as_table(spark, targets):
+    return spark.createDataFrame([(k, *v) for k, v in targets.items()], "source string, target_share double, max_repeats int")
+
+
+@settings(max_examples=300, deadline=None)
+@given(st.floats(1e-30, 1e6), st.integers(1, 10**13))
+def test_units_keep_the_rate(rate, docs):
+    part, copy = mixing.units(rate, docs)
+    if rate * docs > 1e15:  # copies that no mix holds
+        return
+    assert part >= 1 and part * docs <= 2 * mixing.LARGEST_SUM and copy <= mixing.LARGEST_SUM and (part / copy <= rate * (1 + 1e-9) or part == 1)
+    if rate * docs > 0.01:
+        assert part / copy == pytest.approx(rate, rel=1e-4)
+    assert mixing.units(3.0, docs)[0] == 3 * mixing.units(3.0, docs)[1]
+
+
+def test_source_of_a_tiny_rate_contributes(spark):
+    """5 million documents of which two are wanted: a rate of 4e-7."""
+    docs = spark.range(5_000_020).select(F.col("id").alias("doc_id"), F.when(F.col("id") < 20, "small").otherwise("huge").alias("source"), F.when(F.col("id") < 20, 1000).otherwise(10_000).alias("n_tokens"))
+    s = {r["source"]: r for r in mixing.mix(docs, as_table(spark, {"small": (0.5, 1), "huge": (0.5, 1)}))[1].collect()}
+    assert s["small"]["copies"] == 20 and s["huge"]["copies"] == 2 and s["huge"]["actual_share"] == 0.5
+
+
+@settings(max_examples=8, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(st.lists(st.tuples(st.integers(0, 1000), st.sampled_from([0.0, 0.1, 0.3, 0.5]), st.integers(0, 4)), min_size=1, max_size=6), st.sampled_from([None, 10.0, 5000.0]), st.booleans())
+def test_rates_are_the_same_where_they_lie(spark, rows, total, fill):
+    want, _ = mixing.plan_mix({str(i): r[0] for i, r in enumerate(rows)}, {str(i): r[1:] for i, r in enumerate(rows)}, total, fill)
+    df = spark.createDataFrame([(str(i), s, r, t) for i, (t, s, r) in enumerate(rows)], "source string, target_share double, max_repeats int, tokens long")
+    got = {r["source"]: r["rate"] for r in mixing.plan_where_it_lies(df, total, fill).collect()}
+    assert got == pytest.approx({k: want.get(k, 0.0) for k in got}, rel=1e-9)
+
+
+def test_many_sources(spark):
+    docs = spark.range(9000).select(F.col("id").alias("doc_id"), F.when(F.col("id") % 3 == 0, "hot").otherwise((F.col("id") % 50).cast("string")).alias("source"), F.lit(10).alias("n_tokens"))
+    targets = as_table(spark, {"hot": (0.3, 2), **{str(i): (0.014, 2) for i in range(50)}})
+    a, b = (mixing.mix(docs, targets, fill=True, in_driver=n) for n in (10_000, 5))
+    assert a[0].exceptAll(b[0]).count() == 0 and a[0].count() == b[0].count() > 0 and a[1].exceptAll(b[1]).count() == 0
+
+
 def test_mix_shares_and_caps(spark):
     docs = spark.range(6000).select(F.col("id").alias("doc_id"), F.when(F.col("id") % 3 == 0, "hot").when(F.col("id") % 10 == 1, "small").when(F.col("id") % 50 == 2, None).otherwise("rest").alias("source"), (F.col("id") % 17).alias("n_tokens"), F.lit("x").alias("_units"))
     targets = {"hot": (0.2, 2), "small": (0.3, 4), "rest": (0.5, 2), "absent": (0.1, 3)}
-    emitted, shares = mixing.mix(docs, targets)
+    emitted, shares = mixing.mix(docs, as_table(spark, targets))
     s = {r["source"]: r for r in shares.collect()}
     assert s["absent"]["docs"] == 0 and s[None]["copies"] == 0 and s[None]["docs"] > 0
     for name in ("hot", "small", "rest"):
         assert s[name]["actual_share"] == pytest.approx(targets[name][0], abs=0.02)
     most = emitted.groupBy("source").agg(F.max("copy").alias("m")).collect()
     assert all(r["m"] <= targets[r["source"]][1] for r in most)
-    again, _ = mixing.mix(docs.repartition(7), targets)
+    again, _ = mixing.mix(docs.repartition(7), as_table(spark, targets))
     assert emitted.exceptAll(again).count() == 0 and emitted.count() == again.count()
 
 
@@ -405,7 +459,7 @@ def test_scarce_source_does_not_shrink_the_mix(spark):
     # where every share can be met with all tokens or more, nothing changes
     assert mixing.plan_mix({"a": 100, "b": 100}, {"a": (0.5, 2), "b": (0.5, 3)}, fill=True) == mixing.plan_mix({"a": 100, "b": 100}, {"a": (0.5, 2), "b": (0.5, 3)})
     docs = spark.range(10_001).select(F.col("id").alias("doc_id"), F.when(F.col("id") == 10_000, "letter").when(F.col("id") < 6000, "a").otherwise("b").alias("source"), F.when(F.col("id") == 10_000, 50).otherwise(10).alias("n_tokens"))
-    emitted, shares = mixing.mix(docs, targets | {"none": (0.01, 2)}, fill=True)
+    emitted, shares = mixing.mix(docs, as_table(spark, targets | {"none": (0.01, 2)}), fill=True)
     s = {r["source"]: r for r in shares.collect()}
     assert sum(r["tokens_out"] for r in s.values()) == pytest.approx(100_050, abs=50) and s["letter"]["copies"] == 3
     assert s["letter"]["shortfall"] == pytest.approx(0.03 - 150 / 100_050, abs=1e-4) and s["a"]["shortfall"] == 0.0 and s["none"]["shortfall"] == pytest.approx(0.01)
@@ -414,19 +468,19 @@ def test_scarce_source_does_not_shrink_the_mix(spark):
 
 def test_mix_emits_once_per_boundary(spark):
     docs = spark.range(1000).select(F.col("id").alias("doc_id"), F.lit("a").alias("source"), F.lit(10).alias("n_tokens"))
-    emitted, _ = mixing.mix(docs, {"a": (1.0, 7)}, total=27_770)
+    emitted, _ = mixing.mix(docs, as_table(spark, {"a": (1.0, 7)}), total=27_770)
     per = emitted.groupBy("doc_id").count().groupBy("count").count().collect()
     assert {r[0] for r in per} <= {2, 3} and abs(emitted.count() - 2777) <= 1
 
 
 def test_mix_of_nothing(spark):
     none = spark.createDataFrame([], "doc_id long, source string, n_tokens long")
-    emitted, shares = mixing.mix(none, {"a": (1.0, 2)})
+    emitted, shares = mixing.mix(none, as_table(spark, {"a": (1.0, 2)}))
     assert emitted.count() == 0 and [r["source"] for r in shares.collect()] == ["a"]
-    emitted, shares = mixing.mix(none, {})
+    emitted, shares = mixing.mix(none, as_table(spark, {}))
     assert emitted.count() == 0 and shares.count() == 0
     bad = spark.createDataFrame([("a", 0.5, 2), ("a", 0.4, 1), (None, 0.1, 1), ("b", None, 1)], "source string, target_share double, max_repeats int")
-    assert mixing.read_targets(bad) == {"a": (0.4, 1)}
+    assert [tuple(r) for r in mixing.clean_targets(bad).collect()] == [("a", 0.4, 1)]
 
 
 # ---- abuse
