@@ -130,9 +130,10 @@ def test_field_limits(spark):
 def test_signatures_find_near_copies():
     words = [f"w{i}" for i in range(64)]
     other = [*words[:40], "changed", *words[41:]]
-    a, b = dict(truncation.signatures(words, "x")), dict(truncation.signatures(other, "x"))
-    assert set(a[32]) == set(b[32]) and set(a[64]) & set(b[64]) and not set(a[64]) & set(dict(truncation.signatures(words, "y"))[64])
-    assert truncation.signatures([]) == [] and truncation.similar(words, other)
+    sign = lambda ws, r, salt="x": set(truncation.signatures([ws], [[r]], [salt])[0])
+    assert sign(words, 32) == sign(other, 32) and sign(words, 64) & sign(other, 64) and not sign(words, 64) & sign(words, 64, "y")
+    assert set(truncation.signatures([["z"] * 9, words], [[8], [8, 16]], ["x", "x"], 10)[1]) == sign(words, 8) | sign(words, 16) and len(sign(words, 8)) == truncation.BANDS
+    assert truncation.signatures([[]], [[]], [""]) == [[]] and truncation.similar(words, other)
 
 
 # ---- survivors
@@ -330,6 +331,24 @@ def test_link_of_nothing_and_of_copies(spark):
     assert linked(spark, many) == [[0], [1]]
 
 
+def test_every_beginning_is_looked_up_where_it_is_offered():
+    rnd = random.Random(3)
+    for _ in range(300):
+        b = " ".join(rnd.choice(["ab", "c", "defg", "hi,", "j"]) for _ in range(rnd.randint(2, 40)))
+        a = b[: rnd.randint(1, len(b) - 1)].rstrip()
+        if len(a.split()) > 1 and truncation.ends_early(a, b):
+            assert set(truncation.seek([a.split()], ["x"])[0]) & set(truncation.offer([b.split()], ["x"])[0])
+            assert not set(truncation.seek([a.split()], ["x"])[0]) & set(truncation.offer([b.split()], ["y"])[0])
+
+
+def test_hot_note_is_not_paired_with_all(spark):
+    """A third of all texts are one note, another third begin with its words: each is judged."""
+    rows = [(i, "the same short note; in use" if i % 3 == 0 else f"the same short note; in use since {i}" if i % 3 == 1 else f"other {i} text.", "s", "R") for i in range(900)]
+    df = spark.createDataFrame(rows, "sp_id long, _context string, _source string, resourceId string")
+    got = truncation.judge(df, "sp_id", "_context", "_source", "resourceId")
+    assert got.count() == 900 and got.where("why = 'copy' AND key % 3 = 0").count() == 300
+
+
 def test_pairs_and_components(spark):
     from curatella.functions.components import components
 
