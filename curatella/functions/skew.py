@@ -24,7 +24,7 @@ def hot_keys(df: DataFrame, keys: list[str], total: int, least: int = LEAST) ->
     combines in the map tasks: a hot key shuffles one row per task.
     """
     share = max(least, total // (4 * partitions(df)))
-    return df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > share).select(*keys)
+    return df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_hot_rows")).where(F.col("_hot_rows") > share).select(*keys)
 
 
 def _plain(left: DataFrame, right: DataFrame, keys: list[str], how: str, condition: Column | None) -> DataFrame:

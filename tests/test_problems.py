@@ -10,7 +10,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
-from curatella.functions import bloom
+from curatella.functions import bloom, skew
 from curatella.operators import nested, orphans, packed
 from curatella.plans import problems
 
@@ -77,6 +77,14 @@ def test_hot_key_is_salted_and_loses_nothing(spark):
         assert got.count() == want.count() and got.exceptAll(want.select(*got.columns)).count() == 0
 
 
+def test_salted_join_of_many_rows_and_odd_names(spark):
+    """More rows than one task takes, keys of the names that counting might use."""
+    left = spark.range(60_000).select(F.when(F.col("id") < 30_000, 1).otherwise(F.col("id") % 100).cast("int").alias("_n"), F.col("id").alias("m"))
+    right = spark.createDataFrame([(1, "a"), (2, "b")], "_n int, v string")
+    got = skew.salted_join(left, right, ["_n"], "inner", 60_000)
+    assert got.count() == 30_600 and got.columns == ["_n", "m", "v"]
+
+
 def test_orphan_report_counts_months(spark):
     refs = orphans.references(spark.createDataFrame(LINKS, LINK), "usage_links", "usageId", ["resourceId"], "linkDate")
     parents = {"resourceId": orphans.Parent(spark.createDataFrame(TOOLS, TOOL), "resourceId", "dateAdded", "dateRemoved")}
