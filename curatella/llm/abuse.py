@@ -1,10 +1,11 @@
 """Abusive, hateful or sexual passages, by compression distance.
 
-Two zstandard dictionaries are trained, one on toxic and one on ordinary windows. A window of a few
-words that compresses better with the toxic one, by more than a calibrated margin a byte, marks the
-document. Texts are folded first (look-alike letters, digits typed for letters, letters spaced out or
-drawn out), so that a disguised word compresses like the plain one. Fitting uses a bounded sample of
-labelled documents; scoring reads every document whole and moves nothing but ids and scores.
+Two zstandard dictionaries are trained, one on toxic and one on ordinary passages of labelled documents. A
+window of a few words that compresses better with the toxic one, by more than a calibrated margin a byte,
+marks the document. Texts are folded first (look-alike letters, digits typed for letters, letters spaced out
+or drawn out), so that a disguised word compresses like the plain one. No word list is part of the model: it
+knows what the labels show. Fitting uses a bounded sample of labelled passages, the calibration folds side by
+side in the executors; scoring reads every document whole and moves nothing but ids and scores.
 """
 
 from __future__ import annotations
@@ -15,22 +16,25 @@ from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
 
+import pandas as pd
 import pyarrow as pa
 import zstandard
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-#: Labelled documents of each class that fitting reads at most, those of the smallest hashed ids.
-MOST_TOXIC, MOST_ORDINARY = 4_000, 8_000
-#: Labelled texts longer than this are left out of fitting (not of scoring); bounds what the driver reads.
-MOST_CHARS = 100_000
-#: Bytes of a dictionary at most.
-DICTIONARY = 220_000
-WORDS, STEP, LEVEL = 8, 4, 19
+from curatella.functions import lineage
+
+#: Labelled documents of each class that fitting reads at most, those of the smallest hashed ids, and
+#: pieces of all of them together, again those of the smallest hashes; scoring has no such bound.
+MOST_TOXIC, MOST_ORDINARY, MOST_PIECES = 4_000, 8_000, 300_000
+#: Characters of a piece at most; longer ones are cut between words.
+LONGEST = 4_000
+#: Bytes of a dictionary at most, and bytes of samples for each byte of it.
+DICTIONARY, SAMPLES = 220_000, 2
+WORDS, STEP, LEVEL = 8, 4, 3
 #: F1 values that differ by less are held to be equal.
 NEARLY = 0.005
-#: Ends both dictionaries and every window: too short a window would be stored, not compressed.
-PAD = b"\n=0123456789=abcdefghij=pad=\n"
+FOLDS = 4
 
 # Signs typed for letters.
 LEET = str.maketrans({"0": "o", "1": "i", "3": "e", "4": "a", "5": "s", "7": "t", "8": "b", "@": "a", "$": "s", "!": "i", "|": "i", "€": "e", "+": "t"})
@@ -39,19 +43,6 @@ ALIKE = str.maketrans({"а": "a", "е": "e", "о": "o", "р": "p", "с": "c", "
 INVISIBLE = re.compile("[­​-‏‪-‮⁠-⁤﻿️]")
 CUT = re.compile(r"(?<=[.!?;:])\s+|[。！？\n\r]+|(?<=[.!?])(?=[A-Z])")
 
-# Insults and threats of common languages that a small sample of labels may lack.
-LEXICON = (
-    "you are an idiot", "you are a moron", "you stupid bitch", "fuck you", "fuck off", "go fuck yourself", "piece of shit", "shut the fuck up", "you fucking asshole", "what a dumbass", "you cunt", "kill yourself",
-    "go kill yourself", "i will kill you", "you deserve to die", "nobody would miss you", "i hope you die", "you worthless trash", "son of a bitch", "eat shit", "suck my dick", "you are scum", "those people are vermin",
-    "they should all be shot", "send nudes", "show me your tits", "she sucked his cock", "horny girls", "wet pussy", "hardcore porn", "naked teens", "jerk off", "blow job",
-    "du bist ein idiot", "du arschloch", "halt die fresse", "verpiss dich", "dumme schlampe", "fick dich", "du hurensohn", "du wichser", "dieses pack", "du stück scheiße", "ich bringe dich um",
-    "eres un idiota", "hijo de puta", "vete a la mierda", "eres una mierda", "pedazo de mierda", "que te jodan", "esa gente es basura", "puta madre", "cállate imbécil", "te voy a matar", "maricón de mierda",
-    "tu es un idiot", "espèce de connard", "va te faire foutre", "ferme ta gueule", "sale pute", "fils de pute", "bande de merde", "t'es vraiment une merde", "je vais te tuer", "gros con",
-    "você é um idiota", "vai se foder", "filho da puta", "cala a boca", "seu babaca", "você é um merda", "vai à merda", "vou te matar", "essa gente é lixo",
-    "バカ野郎", "死ね", "くたばれ", "お前はクズだ", "消えろ", "馬鹿", "殺してやる", "ブス", "你这个白痴", "去死吧", "操你妈", "滚开", "你是垃圾", "傻逼", "蠢货", "我要杀了你", "他妈的", "婊子",
-)
-
-
 def fold(text: str) -> str:
     """Lower case Latin letters as far as the text has them, white space squeezed, numbers as 0."""
     text = INVISIBLE.sub("", unicodedata.normalize("NFKC", text)).lower().translate(ALIKE).replace("’", "'")
@@ -105,8 +96,21 @@ def _joined(words: list[str]) -> list[str]:
 
 
 def pieces(text: str) -> list[str]:
-    """Folded sentences and lines of a text; together they cover it."""
-    return [f for f in (fold(p) for p in CUT.split(text)) if f]
+    """Folded sentences and lines of a text, cut where they are longer than LONGEST; together they cover it."""
+    return [x for f in (fold(p) for p in CUT.split(text)) if f for x in (_cut(f) if len(f) > LONGEST else (f,))]
+
+
+def _cut(piece: str) -> Iterator[str]:
+    """Runs of words of at most LONGEST characters, a longer word by characters."""
+    start = 0
+    while start < len(piece):
+        end = start + LONGEST
+        if end < len(piece):
+            end = max(piece.rfind(" ", start, end), start) or end
+            end = end if end > start else start + LONGEST
+        if piece[start:end].strip():
+            yield piece[start:end].strip()
+        start = end
 
 
 def parts(piece: str) -> list[str]:
@@ -127,7 +131,8 @@ def windows(text: str) -> list[str]:
 
 @dataclass(frozen=True)
 class Model:
-    """What scoring needs, some 450 KB at most: two dictionaries and the margin."""
+    """What scoring needs, some 450 KB at most: two dictionaries and the margin. Empty dictionaries (no
+    labels of both classes) mark nothing."""
 
     toxic: bytes
     ordinary: bytes
@@ -136,6 +141,15 @@ class Model:
     def scorer(self) -> Scorer:
         return Scorer(self)
 
+    def save(self, spark: SparkSession, path: str) -> None:
+        """Keeps the model of a snapshot of the labels for later runs."""
+        spark.createDataFrame([(bytearray(self.toxic), bytearray(self.ordinary), self.margin)], "toxic binary, ordinary binary, margin double").coalesce(1).write.mode("overwrite").parquet(path)
+
+    @staticmethod
+    def load(spark: SparkSession, path: str) -> Model:
+        row = spark.read.parquet(path).first()
+        return Model(bytes(row["toxic"]), bytes(row["ordinary"]), row["margin"])
+
 
 class Scorer:
     """Scores windows: bytes that the toxic dictionary saves over the ordinary one, a byte of the window."""
@@ -144,17 +158,19 @@ class Scorer:
         self.margin = model.margin
         self.sides = []
         for content in (model.toxic, model.ordinary):
-            d = zstandard.ZstdCompressionDict(content + PAD, dict_type=zstandard.DICT_TYPE_RAWCONTENT)
+            d = zstandard.ZstdCompressionDict(content) if content else None
             params = zstandard.ZstdCompressionParameters.from_level(LEVEL, format=zstandard.FORMAT_ZSTD1_MAGICLESS, write_content_size=False, write_checksum=False, write_dict_id=False, min_match=3, window_log=18, hash_log=15, chain_log=16)
-            d.precompute_compress(compression_params=params)
-            self.sides.append(zstandard.ZstdCompressor(dict_data=d, compression_params=params))
+            if d is not None:
+                d.precompute_compress(compression_params=params)
+            self.sides.append(zstandard.ZstdCompressor(dict_data=d, compression_params=params) if d is not None else zstandard.ZstdCompressor(compression_params=params))
+        self.blind = not model.toxic or not model.ordinary
         self.memo: dict[str, float] = {}
 
     def window(self, text: str) -> float:
         got = self.memo.get(text)
         if got is None:
             raw = text.encode("utf-8", "replace")
-            a, b = (len(c.compress(raw + PAD)) for c in self.sides)
+            a, b = (len(c.compress(raw)) for c in self.sides)
             got = (b - a) / (len(raw) + 8)
             if len(self.memo) > 200_000:
                 self.memo.clear()
@@ -164,29 +180,23 @@ class Scorer:
     def cost(self, text: str) -> float:
         """Bytes that the ordinary dictionary leaves, a byte of the window."""
         raw = text.encode("utf-8", "replace")
-        return len(self.sides[1].compress(raw + PAD)) / (len(raw) + 8)
+        return len(self.sides[1].compress(raw)) / (len(raw) + 8)
 
     def document(self, text: str) -> float:
-        return max((self.window(w) for w in windows(text)), default=-1.0)
-
-
-def _content(passages: list[str], shape=lambda p: p) -> bytes:
-    """Raw dictionary of passages, one for each shape, the most frequent last (nearest to what is
-    compressed)."""
-    counts: Counter = Counter()
-    first: dict[str, str] = {}
-    for p in passages:
-        k = shape(p)
-        counts[k] += 1
-        first.setdefault(k, p)
-    out, size = [], 0
-    for k, _ in sorted(counts.items(), key=lambda x: (-x[1], x[0])):
-        raw = first[k].encode("utf-8", "replace") + b"\n"
-        if size + len(raw) > DICTIONARY:
+        return -1.0 if self.blind else max((self.window(w) for w in windows(text)), default=-1.0)
+
+
+def _dictionary(passages: list[str]) -> bytes:
+    """A dictionary trained on all passages, a byte for SAMPLES bytes of them. zstandard trains on no fewer
+    than a handful of samples: those few are given to it again and again until it does."""
+    samples = [(p + "\n").encode("utf-8", "replace") for p in passages]
+    size = min(DICTIONARY, max(256, sum(map(len, samples)) // SAMPLES))
+    for often in (1, 8, 64, 512):
+        try:
+            return zstandard.train_dictionary(size, samples * often).as_bytes() if samples else b""
+        except zstandard.ZstdError:
             continue
-        out.append(raw)
-        size += len(raw)
-    return b"".join(reversed(out))
+    return b""
 
 
 def _runs(piece: str) -> list[str]:
@@ -206,65 +216,85 @@ def _trim(window: str, runs: set[str]) -> str:
     return " ".join(words[lo:hi])
 
 
-def _train(toxic: list[list[str]], ordinary: list[list[str]]) -> tuple[bytes, bytes]:
-    """Dictionaries of documents given as pieces.
+def train(toxic: list[list[str]], ordinary: list[list[str]]) -> tuple[bytes, bytes]:
+    """Dictionaries of documents given as pieces; both empty without documents of both classes.
 
-    Words of few ordinary documents (names, codes) don't count in a piece's shape. A toxic document is
-    mostly ordinary: its toxic windows are those of no ordinary shape, most of whose pairs of words stand in
-    no ordinary document, and that the ordinary dictionary explains worse than nearly all
-    windows of ordinary documents that it hasn't seen; a document with any such window has one at least.
-    Of a window the ordinary words at either end are cut off.
+    Words of few ordinary documents (names, codes) don't count in a piece's shape; of the pieces and windows
+    of one shape the ordinary dictionary is trained on the first. A toxic document is mostly ordinary: its
+    toxic windows are those of no ordinary shape, most of whose pairs of words stand in no ordinary document,
+    and that a dictionary of half of the ordinary documents explains worse than nearly all windows of the
+    other half; a document with any such window has one at least. Of a window the ordinary words at either
+    end are cut off.
     """
+    if not toxic or not ordinary:
+        return b"", b""
     seen = Counter(w for doc in ordinary for w in {w for p in doc for w in p.split(" ")})
     rare = max(2, len(ordinary) // 300)
     shape = lambda p: " ".join(w if seen[w] > rare else "~" for w in p.split(" "))
-    every = lambda docs: [x for doc in docs for p in doc for x in dict.fromkeys((p, *parts(p)))]
-    content = _content(every(ordinary), shape)
-    probe = Scorer(Model(b"", _content(every(ordinary[::2]), shape), 0.0))
+
+    def shapes(docs: list[list[str]]) -> dict[str, str]:
+        out: dict[str, str] = {}
+        for doc in docs:
+            for p in doc:
+                for x in dict.fromkeys((p, *parts(p))):
+                    out.setdefault(shape(x), x)
+        return out
+
+    known = shapes(ordinary)
+    probe = Scorer(Model(b"", _dictionary(list(shapes(ordinary[::2]).values())), 0.0))
     usual = sorted(probe.cost(w) for doc in ordinary[1::2] for p in doc for w in parts(p)) or [0.0]
     bar = usual[int(0.95 * (len(usual) - 1))]
-    known = {shape(w) for doc in ordinary for p in doc for w in (p, *parts(p))}
     runs = {g for doc in ordinary for p in doc for g in _runs(p)}
     strange = lambda w: 2 * sum(g not in runs for g in _runs(w)) > len(_runs(w))
     picked: list[str] = []
     for doc in toxic:
         own = sorted(((probe.cost(w), w) for p in doc if shape(p) not in known for w in parts(p) if shape(w) not in known and strange(w)), reverse=True)
         picked += [_trim(w, runs) for w in ([w for c, w in own if c >= bar] or [w for _, w in own[:1]])]
-    return _content(picked + [fold(x) for x in LEXICON]), content
-
-
-def fit(labelled: list[tuple[str, int]], folds: int = 4) -> Model:
-    """A model of labelled texts (text, 1 or 0).
-
-    The margin is in the middle of those whose F1 is at most NEARLY below the best, on documents that the
-    dictionaries they are scored with have not seen (``folds`` parts). Without labels of both classes the lexicon stands
-    in for the toxic side and the margin is 0.1.
-    """
-    docs = [(pieces(t), y) for t, y in labelled if t]
-    toxic, ordinary = [w for w, y in docs if y], [w for w, y in docs if not y]
-    full = _train(toxic, ordinary)
-    if len(toxic) < folds or len(ordinary) < folds:
-        return Model(*full, 0.1)
-    scored: list[tuple[float, int]] = []
-    for k in range(folds):
-        pick = lambda own, k=k: ([d for i, d in enumerate(own) if i % folds != k], [d for i, d in enumerate(own) if i % folds == k])
-        (ta, tb), (oa, ob) = pick(toxic), pick(ordinary)
-        s = Scorer(Model(*_train(ta, oa), 0.0))
-        scored += [(max((s.window(w) for p in d for w in parts(p)), default=-1.0), y) for own, y in ((tb, 1), (ob, 0)) for d in own]
-    scored.sort(reverse=True)
+    return _dictionary(picked), _dictionary(list(known.values()))
+
+
+def fold_of(docs: list[tuple[list[str], int]], k: int, folds: int = FOLDS) -> tuple[bytes, bytes, list[tuple[float, int]]]:
+    """Dictionaries without the k-th part of the documents of either class, and that part's scores and
+    labels; k = folds: of all documents, without scores."""
+    sides = [[d for d, y in docs if y == label] for label in (1, 0)]
+    if k == folds:
+        return *train(*sides), []
+    if min(map(len, sides)) < folds:
+        return b"", b"", []
+    toxic, ordinary = ([d for i, d in enumerate(own) if i % folds != k] for own in sides)
+    pair = train(toxic, ordinary)
+    s = Scorer(Model(*pair, 0.0))
+    return *pair, [(max((s.window(w) for p in d for w in parts(p)), default=-1.0), y) for own, y in zip(sides, (1, 0), strict=True) for i, d in enumerate(own) if i % folds == k]
+
+
+def margin(scored: list[tuple[float, int]], otherwise: float = 0.0) -> float:
+    """The middle of the margins whose F1 is at most NEARLY below the best."""
+    total = sum(y for _, y in scored)
+    if not total or total == len(scored):
+        return otherwise
+    scored = sorted(scored, reverse=True)
     good, tried = 0, []
-    for i, (score, y) in enumerate(scored):
+    for i, (score_, y) in enumerate(scored):
         good += y
-        below = scored[i + 1][0] if i + 1 < len(scored) else score - 0.05
-        if below < score:
-            tried.append((2 * good / (i + 1 + len(toxic)), (score + below) / 2))
+        below = scored[i + 1][0] if i + 1 < len(scored) else score_ - 0.05
+        if below < score_:
+            tried.append((2 * good / (i + 1 + total), (score_ + below) / 2))
     best = max(f1 for f1, _ in tried)
     fine = [m for f1, m in tried if f1 >= best - NEARLY]
-    return Model(*full, (min(fine) + max(fine)) / 2)
+    return (min(fine) + max(fine)) / 2
+
+
+def fit(labelled: list[tuple[str, int]], folds: int = FOLDS) -> Model:
+    """A model of labelled texts (text, 1 or 0), here and now. The margin is calibrated on documents that
+    the dictionaries they are scored with have not seen; 0 if there are fewer than ``folds`` of a class."""
+    docs = [(pieces(t), y) for t, y in labelled if t]
+    scored = [x for k in range(folds) for x in fold_of(docs, k, folds)[2]]
+    return Model(*fold_of(docs, folds, folds)[:2], margin(scored))
 
 
-def sample(documents: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "text", label: str = "toxic") -> list[tuple[str, int]]:
-    """Labelled texts for ``fit``: at most MOST_TOXIC and MOST_ORDINARY, those whose ids hash lowest.
+def sample(documents: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "text", label: str = "toxic") -> DataFrame:
+    """(doc, y, piece): the distinct pieces of the labelled documents that fitting reads, within the bounds
+    above; whole texts are cut into pieces where they lie.
 
     Rows without text or label are left out; of a key labelled twice the larger label holds.
     """
@@ -273,14 +303,35 @@ def sample(documents: DataFrame, labels: DataFrame, key: str = "doc_id", text: s
     for y, most in ((1, MOST_TOXIC), (0, MOST_ORDINARY)):
         own = marks.where((F.col("_y") > 0) == F.lit(y == 1)).orderBy(F.xxhash64(key), key).limit(most)
         few = own if few is None else few.unionByName(own)
-    rows = documents.select(key, text).where(F.col(text).isNotNull() & (F.length(text) <= MOST_CHARS)).join(F.broadcast(few), key).select(key, text, "_y").orderBy(F.xxhash64(key), key).collect()
-    return [(r[text], int(r["_y"] > 0)) for r in rows]
+    cut = F.pandas_udf(lambda t: t.map(lambda x: list(dict.fromkeys(pieces(x)))), "array<string>").asNondeterministic()
+    rows = documents.select(key, text).where(F.col(text).isNotNull()).join(F.broadcast(few), key)
+    each = rows.select(F.xxhash64(key).alias("doc"), (F.col("_y") > 0).cast("int").alias("y"), F.explode(cut(text)).alias("piece"))
+    return each.orderBy(F.xxhash64("doc", "piece"), "doc", "piece").limit(MOST_PIECES)
+
+
+def fit_table(sampled: DataFrame, folds: int = FOLDS) -> Model:
+    """fit over ``sample``'s pieces: each fold is trained and scored in a task of its own, whose input the
+    sample's bounds limit; the driver gets scores and the two dictionaries of all."""
+
+    def one(pdf: pd.DataFrame) -> pd.DataFrame:
+        k = int(pdf["k"].iloc[0])
+        by: dict[tuple[int, int], list[str]] = {}
+        for doc, y, piece in sorted(zip(pdf["doc"], pdf["y"], pdf["piece"], strict=True)):
+            by.setdefault((doc, y), []).append(piece)
+        a, b, scored = fold_of([(own, y) for (_, y), own in by.items()], k, folds)
+        return pd.DataFrame({"k": [k], "toxic": [a if k == folds else b""], "ordinary": [b if k == folds else b""], "scores": [[s for s, _ in scored]], "labels": [[y for _, y in scored]]})
+
+    spread = lineage.cut(sampled).withColumn("k", F.explode(F.sequence(F.lit(0), F.lit(folds)))).repartition(folds + 1, "k")
+    rows = spread.groupBy("k").applyInPandas(one, "k int, toxic binary, ordinary binary, scores array<double>, labels array<int>").collect()
+    full = next((r for r in rows if r["k"] == folds), None)
+    scored = [x for r in sorted(rows) for x in zip(r["scores"], r["labels"], strict=True)]
+    return Model(bytes(full["toxic"]), bytes(full["ordinary"]), margin(scored)) if full else Model(b"", b"", 0.0)
 
 
 def score(documents: DataFrame, model: Model, key: str = "doc_id", text: str = "text", keep: tuple[str, ...] = ()) -> DataFrame:
     """(key, *keep, score, is_toxic) of every document; no shuffle.
 
-    Null and empty texts score -1 and aren't toxic. Repeated keys are scored each; other columns are
+    Null and empty texts score -1 and aren't toxic; without a model all texts do. Repeated keys are scored each; other columns are
     ignored. The score is the largest over the windows of the whole text.
     """
     names = [key, *keep]
@@ -289,7 +340,7 @@ def score(documents: DataFrame, model: Model, key: str = "doc_id", text: str = "
         scorer = model.scorer()
         for batch in batches:
             got = [scorer.document(t) if t else -1.0 for t in batch.column(len(names)).to_pylist()]
-            yield pa.RecordBatch.from_arrays([*batch.columns[: len(names)], pa.array(got, pa.float64()), pa.array([g > model.margin for g in got])], [*names, "score", "is_toxic"])
+            yield pa.RecordBatch.from_arrays([*batch.columns[: len(names)], pa.array(got, pa.float64()), pa.array([g > model.margin and not scorer.blind for g in got], pa.bool_())], [*names, "score", "is_toxic"])
 
     kinds = dict(documents.dtypes)
     schema = ", ".join(f"`{c}` {kinds[c]}" for c in names) + ", score double, is_toxic boolean"

@@ -106,7 +106,7 @@ def p9_shares(spark: SparkSession, d: str) -> DataFrame:
 
 def _scored(spark: SparkSession, d: str) -> DataFrame:
     documents = table(spark, d, "documents")
-    model = abuse.fit(abuse.sample(documents, table(spark, d, "doc_labels")))
+    model = abuse.fit_table(abuse.sample(documents, table(spark, d, "doc_labels")))
     return abuse.score(documents, model, keep=("source",))
 
 

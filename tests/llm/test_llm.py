@@ -506,7 +506,7 @@ def test_mix_of_nothing(spark):
 
 
 def test_fold_undoes_disguise():
-    assert abuse.fold("You  1D10T") != abuse.fold("you idiot") or True
+    assert abuse.fold("You 1d10t") == "you #" and abuse.fold("you !d!ot") == "you idiot"
     assert abuse.fold("u$3l3$$") == "useless" and abuse.fold("b-a-s-t-a-r-d") == "bastard" and abuse.fold("i d i o t") == "idiot"
     assert abuse.fold("jackaaaass") == "jackass" and abuse.fold("sсumbаg") == "scumbag" and abuse.fold("ÍDIOT") == "idiot"
     assert "#" in abuse.fold("HM-52/327T at 33 °C") and abuse.fold("") == "" and abuse.fold("12.5 34") == "0 0"
@@ -528,7 +528,25 @@ def test_held_out_accuracy():
     scorer = model.scorer()
     judged = [(scorer.document(t) > model.margin, y) for i, (t, y) in enumerate(rows) if not i % 3]
     hits, alarms = sum(a and y for a, y in judged), sum(a and not y for a, y in judged)
-    assert hits >= 0.4 * sum(y for _, y in judged) and alarms <= 0.05 * len(judged)
+    # 31 toxic documents to learn from; test_held_out_accuracy_of_many_labels has more
+    assert hits >= 0.7 * sum(y for _, y in judged) and alarms <= 0.02 * len(judged)
+
+
+def test_held_out_accuracy_of_many_labels():
+    import os
+
+    import pyarrow.dataset as ds
+
+    d = "/root/testdata/check_l"
+    if not os.path.isdir(d):
+        pytest.skip("no larger tables here")
+    labels = {r["doc_id"]: r["toxic"] for r in ds.dataset(f"{d}/doc_labels.parquet").to_table().to_pylist()}
+    t = ds.dataset(f"{d}/documents.parquet").to_table(columns=["doc_id", "text"]).to_pydict()
+    rows = sorted((k * 2654435761 % 1000, x, labels[k]) for k, x in zip(t["doc_id"], t["text"], strict=True) if k in labels and x)
+    model = abuse.fit([r[1:] for i, r in enumerate(rows) if i % 3])
+    scorer = model.scorer()
+    judged = [(scorer.document(x) > model.margin, y) for i, (_, x, y) in enumerate(rows) if not i % 3]
+    assert sum(a and y for a, y in judged) >= 0.9 * sum(y for _, y in judged) and sum(a and not y for a, y in judged) <= 0.01 * len(judged)
 
 
 def test_score_edges(spark):
@@ -538,14 +556,32 @@ def test_score_edges(spark):
     assert got == [(1, True), (2, False), (3, False), (4, False), (4, False), (5, True)]
     assert abuse.score(df.limit(0), model).count() == 0
     none = abuse.fit([])
-    assert none.scorer().document("The samples were kept at 4 C.") < 1 and none.scorer().document("fuck you") > none.margin
+    assert none == abuse.Model(b"", b"", 0.0) and [(r["score"], r["is_toxic"]) for r in abuse.score(df.limit(2), none).collect()] == [(-1.0, False)] * 2
+    for n in (1, 2, 3, 7):  # few labels still train
+        few = abuse.fit([("You are a stupid idiot and I hate you.", 1)] * n + [("The samples were kept at 4 C.", 0)] * n)
+        assert few.toxic and few.ordinary
+
+
+def test_long_pieces_are_cut_and_covered():
+    text = "x" * 10_000 + " " + "word " * 3000
+    got = abuse.pieces(text)
+    assert max(map(len, got)) <= abuse.LONGEST and "".join(got).replace(" ", "") == abuse.fold(text).replace(" ", "")
 
 
 def test_sample(spark):
-    docs = spark.createDataFrame([(1, "a"), (2, None), (3, "c"), (None, "d")], "doc_id long, text string")
-    labels = spark.createDataFrame([(1, 1), (1, 0), (2, 1), (3, 0), (None, 1), (9, 1), (3, None)], "doc_id long, toxic long")
-    assert sorted(abuse.sample(docs, labels)) == [("a", 1), ("c", 0)]
-    assert abuse.sample(docs, labels.limit(0)) == []
+    docs = spark.createDataFrame([(1, "a. b"), (2, None), (3, "c"), (None, "d"), (4, "")], "doc_id long, text string")
+    labels = spark.createDataFrame([(1, 1), (1, 0), (2, 1), (3, 0), (None, 1), (9, 1), (3, None), (4, 0)], "doc_id long, toxic long")
+    assert sorted((r["piece"], r["y"]) for r in abuse.sample(docs, labels).collect()) == [("a.", 1), ("b", 1), ("c", 0)]
+    assert abuse.sample(docs, labels.limit(0)).count() == 0 and abuse.fit_table(abuse.sample(docs, labels.limit(0))) == abuse.Model(b"", b"", 0.0)
+
+
+def test_model_is_kept_and_the_same_in_executors(spark, tmp_path):
+    rows = [(i, f"You are a stupid idiot and I hate you {i}. Samples were kept.", 1) for i in range(12)] + [(100 + i, f"The samples {i} were kept at 4 C. Then stained.", 0) for i in range(30)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, toxic long")
+    model = abuse.fit_table(abuse.sample(df.select("doc_id", "text"), df.select("doc_id", "toxic")))
+    model.save(spark, f"file://{tmp_path}/model")
+    assert abuse.Model.load(spark, f"file://{tmp_path}/model") == model
+    assert {r["doc_id"] for r in abuse.score(df, model).where("is_toxic").collect()} == set(range(12))
 
 
 # ---- queries
@@ -572,4 +608,5 @@ def test_queries_equal_sql(spark, duck, name):
 
 @pytest.mark.parametrize("name", sorted(queries.QUERIES))
 def test_queries_run(spark, name):
-    assert queries.QUERIES[name](spark, SF).count() > 0
+    # the smallest tables have no labels to find anything by
+    assert queries.QUERIES[name](spark, SF).count() > 0 or name == "p10_found"
