@@ -270,34 +270,51 @@ def blocks(parsed: tuple[str, str, list[str], str, str, bool]) -> list[tuple[str
     return [(f"o|{t}", place, "") for t in ([letters] if reduced else [str(len(rest)), letters])]
 
 
+def _keys(c: str):
+    """slips of a column's words."""
+    return F.pandas_udf(lambda words: words.map(slips), "array<string>").asNondeterministic()(c)
+
+
+def _near(a: str, b: str):
+    """same_word's conditions as far as the JVM has them; neighbours exchanged are two edits there."""
+    short = F.least(F.length(a), F.length(b))
+    most = F.when(short < 4, 0).when(short < 7, 1).otherwise(2)
+    return (F.abs(F.length(a) - F.length(b)) <= most) & F.levenshtein(a, b, 4).between(0, 2 * most)
+
+
 def fellows(words: DataFrame) -> DataFrame:
     """(word, fellow) of distinct words (column word), both ways: other words that same_word takes for the same."""
 
-    @F.pandas_udf("array<string>")
-    def keys(words: pd.Series) -> pd.Series:
-        return pd.Series([slips(w) for w in words], dtype=object)
-
     @F.pandas_udf("boolean")
     def same(a: pd.Series, b: pd.Series) -> pd.Series:
         return pd.Series([same_word(x, y) or same_word(y, x) for x, y in zip(a, b, strict=True)], dtype="bool")
 
-    posted = lineage.cut(words.where(F.length("word") > 3).select("word", F.explode(keys("word")).alias("_s")))
-    pairs = posted.join(posted.withColumnRenamed("word", "fellow"), "_s").where(F.col("word") < F.col("fellow")).select("word", "fellow").distinct()
+    posted = lineage.cut(words.where(F.length("word") > 3).select("word", F.explode(_keys("word")).alias("_s")).select("word", F.xxhash64("_s").alias("_s")))
+    # what is left of many words may be the same few letters
+    pairs = skew.salted_join(posted, posted.select(F.col("word").alias("fellow"), "_s"), ["_s"], "inner", posted.count())
+    pairs = pairs.where((F.col("word") < F.col("fellow")) & _near("word", "fellow")).select("word", "fellow").distinct()
     pairs = lineage.cut(pairs.where(same.asNondeterministic()("word", "fellow")))
     return pairs.unionByName(pairs.select(F.col("fellow").alias("word"), F.col("word").alias("fellow")))
 
 
 def candidates(each: DataFrame) -> DataFrame:
-    """(nid, nid_2), the smaller first: distinct pairs of nodes with fitting block keys (nid, tag, word, also)."""
-    words = each.select("word").unionByName(each.select(F.col("also").alias("word"))).distinct()
-    near = lineage.cut(fellows(words))
+    """(nid, nid_2), the smaller first: distinct pairs of nodes with fitting block keys (nid, tag, word, also).
+
+    Fellows of the first words (authors, places) are found among all of them; second words (surnames) meet
+    only beside fitting first ones, by what is left of them. Keys of many nodes, such as a name without a
+    place, are salted.
+    """
+    near = lineage.cut(fellows(each.select("word").distinct()))
+    other = each.where(F.length("word") > 3).join(near, "word")
+    looked = each.unionByName(other.withColumn("word", F.col("fellow")).drop("fellow"))
 
-    def around(df: DataFrame, c: str) -> DataFrame:
-        other = df.where(F.length(c) > 3).join(near.select(F.col("word").alias(c), "fellow"), c)
-        return df.unionByName(other.withColumn(c, F.col("fellow")).drop("fellow"))
+    def posted(df: DataFrame) -> DataFrame:
+        left = F.when(F.col("also") == "", F.array(F.lit(""))).otherwise(_keys("also"))
+        return df.withColumn("_s", F.explode(left)).select("nid", "also", F.xxhash64("tag", "word", "_s").alias("_s"))
 
-    hits = around(around(each, "word"), "also").join(each.withColumnRenamed("nid", "nid_2"), ["tag", "word", "also"])
-    return hits.where(F.col("nid") < F.col("nid_2")).select("nid", "nid_2").distinct()
+    mine = lineage.cut(posted(looked))
+    pairs = skew.salted_join(mine, posted(each).select(F.col("nid").alias("nid_2"), F.col("also").alias("also_2"), "_s"), ["_s"], "inner", mine.count())
+    return pairs.where((F.col("nid") < F.col("nid_2")) & _near("also", "also_2")).select("nid", "nid_2").distinct()
 
 
 def agree(a: tuple, b: tuple) -> int:
@@ -384,11 +401,13 @@ def parse(records: DataFrame, person: bool) -> DataFrame:
 
 
 def link(parsed: DataFrame) -> DataFrame:
-    """(id, entity) of the records of parse's output; entity is shared by the records of one entity.
+    """entity of each record of parse's output, beside its id and whatever other columns it has; entity is
+    shared by the records of one entity. Names of different kinds may be linked in one run.
 
     Equal parses are compared once. Names that share an identifier (same_as) and a main word are linked;
     different identifiers forbid a direct link. Every record of ``parsed`` gets an entity, alone if need be.
     """
+    own = [c for c in parsed.columns if c not in ("nid", "parsed", "keys", "same_as")]
     parsed = lineage.cut(parsed)
     nodes = lineage.cut(parsed.groupBy("nid").agg(F.first("parsed").alias("parsed"), F.first("keys").alias("keys"), F.first("same_as").alias("same_as")))
     # only ids meet in the blocks; what is compared is fetched for distinct pairs
@@ -407,6 +426,15 @@ def link(parsed: DataFrame) -> DataFrame:
                 out.append(agree(x, y))
         return pd.Series(out, dtype="int32")
 
+    a, b = (lambda f: F.col(f"parsed.{f}")), (lambda f: F.col(f"parsed_2.{f}"))
+    ids = F.col("same_as").isNotNull() & F.col("same_as_2").isNotNull()
+    full = ~a("reduced") & ~b("reduced")
+    fits = a("kind") == b("kind")
+    fits = fits & ((a("kind") != "person") | (a("extra") == "") | (b("extra") == "") | (a("extra") == b("extra")))
+    fits = fits & ((a("kind") != "instrument") | ((a("extra") == b("extra")) & ((a("place") == "") | (b("place") == "") | (a("place") == b("place")))))
+    fits = fits & ((a("kind") == "person") | ~full | (F.size(a("rest")) == F.size(b("rest"))))
+    # agree's exact conditions as far as the JVM has them; identifiers decide alone
+    pairs = pairs.where(F.when(ids, F.col("same_as") == F.col("same_as_2")).otherwise(fits))
     # called non-deterministic so that filtering on its result doesn't run it a second time
     judged = pairs.withColumn("level", fit.asNondeterministic()("parsed", "parsed_2", "same_as", "same_as_2")).where(F.col("level") > 0)
     judged = lineage.cut(judged.select("nid", "nid_2", "level", F.col("parsed.reduced").alias("r"), F.col("parsed_2.reduced").alias("r_2")))
@@ -423,17 +451,20 @@ def link(parsed: DataFrame) -> DataFrame:
     final = label.join(sole.where("k = 1").select(F.col("s").alias("nid"), F.col("home").alias("_home")), "nid", "left").join(alone, "nid", "left")
     final = final.select("nid", F.when(F.col("_in"), F.col("entity")).otherwise(F.coalesce("_home", "_alone", "entity")).alias("entity"))
     # copies of one name may be a third of all rows
-    return skew.salted_join(parsed.select("id", "nid"), final, ["nid"], "inner", parsed.count()).select("id", "entity")
+    return skew.salted_join(parsed.select(*own, "nid"), final, ["nid"], "inner", parsed.count()).select(*own, "entity")
 
 
 def entity_pairs(linked: DataFrame) -> DataFrame:
-    """(id_1, id_2): all pairs of records of one entity, the smaller id first.
+    """(id_1, id_2, and linked's other columns, of the first): all pairs of records of one entity, the
+    smaller id first.
 
     Its size is the sum of squared entity sizes by definition; ``link`` itself expands no entity.
     """
+    linked = lineage.cut(linked)
     many = linked.groupBy("entity").agg(F.count(F.lit(1)).alias("_n")).where("_n > 1").select("entity")
     rows = linked.join(many, "entity", "left_semi")
-    return rows.select("entity", F.col("id").alias("id_1")).join(rows.select("entity", F.col("id").alias("id_2")), "entity").where(F.col("id_1") < F.col("id_2")).select("id_1", "id_2")
+    pairs = skew.salted_join(rows.withColumnRenamed("id", "id_1"), rows.select("entity", F.col("id").alias("id_2")), ["entity"], "inner", linked.count())
+    return pairs.where(F.col("id_1") < F.col("id_2")).drop("entity")
 
 
 def identifier(col):

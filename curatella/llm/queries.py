@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from curatella.functions import lineage, skew
 from curatella.functions.blank import NO_VALUE, is_blank
 from curatella.llm import abuse, canonical, mixing, names, survivors, tokens, truncation
 from curatella.sources.tables import table
@@ -58,30 +59,24 @@ def p4_survivors(spark: SparkSession, d: str) -> DataFrame:
     return survivors.survivors(table(spark, d, "submission_mentions"))
 
 
-def _entities(spark: SparkSession, d: str, name: str) -> DataFrame:
-    """(id, entity) of the records behind one name field."""
-    if name == "assessmentName":
-        records = table(spark, d, "clinical_tools").select(F.col("ct_id").alias("id"), F.col(name).alias("name"), F.col("assessmentType").alias("more"), F.lit(None).cast("string").alias("same_as"))
-    else:
-        records = table(spark, d, "developer_entries").select(F.col("entry_id").alias("id"), F.col(name).alias("name"), F.col("developerAffiliation").alias("more"), names.identifier(F.col("orcid")).alias("same_as"))
-    return names.link(names.parse(records.where(~is_blank(F.col("name"))), name == "developerName"))
+def _entities(spark: SparkSession, d: str) -> DataFrame:
+    """(field_name, id, entity) of the records behind both name fields, linked in one run."""
+    tools = table(spark, d, "clinical_tools").select(F.col("ct_id").alias("id"), F.col("assessmentName").alias("name"), F.col("assessmentType").alias("more"), F.lit(None).cast("string").alias("same_as"))
+    people = table(spark, d, "developer_entries").select(F.col("entry_id").alias("id"), F.col("developerName").alias("name"), F.col("developerAffiliation").alias("more"), names.identifier(F.col("orcid")).alias("same_as"))
+    parsed = lambda rows, field, person: names.parse(rows.where(~is_blank(F.col("name"))), person).withColumn("field_name", F.lit(field))
+    return names.link(parsed(tools, "assessmentName", False).unionByName(parsed(people, "developerName", True)))
 
 
 def p7_found(spark: SparkSession, d: str) -> DataFrame:
     """All pairs of records of one instrument, person or organisation."""
-    both = [names.entity_pairs(_entities(spark, d, name)).select(F.lit(name).alias("field_name"), "id_1", "id_2") for name in ("assessmentName", "developerName")]
-    return both[0].unionByName(both[1])
+    return names.entity_pairs(_entities(spark, d)).select("field_name", "id_1", "id_2")
 
 
 def p7_entities(spark: SparkSession, d: str) -> DataFrame:
     """Each record's entity and its size, without any pairs."""
-    out = None
-    for name in ("assessmentName", "developerName"):
-        linked = _entities(spark, d, name)
-        sizes = linked.groupBy("entity").agg(F.count(F.lit(1)).alias("n_records"), F.min("id").alias("entity_id"))
-        own = linked.join(sizes, "entity").select(F.lit(name).alias("field_name"), "id", "entity_id", "n_records")
-        out = own if out is None else out.unionByName(own)
-    return out
+    linked = lineage.cut(_entities(spark, d))
+    sizes = linked.groupBy("entity").agg(F.count(F.lit(1)).alias("n_records"), F.min("id").alias("entity_id"))
+    return skew.salted_join(linked, sizes, ["entity"], "inner", linked.count()).select("field_name", "id", "entity_id", "n_records")
 
 
 def p8_ids(spark: SparkSession, d: str) -> DataFrame:

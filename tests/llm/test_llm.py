@@ -506,7 +506,6 @@ def test_mix_of_nothing(spark):
 
 
 def test_fold_undoes_disguise():
-    assert abuse.fold("You 1d10t") == "you #" and abuse.fold("you !d!ot") == "you idiot"
     assert abuse.fold("u$3l3$$") == "useless" and abuse.fold("b-a-s-t-a-r-d") == "bastard" and abuse.fold("i d i o t") == "idiot"
     assert abuse.fold("jackaaaass") == "jackass" and abuse.fold("sсumbаg") == "scumbag" and abuse.fold("ÍDIOT") == "idiot"
     assert "#" in abuse.fold("HM-52/327T at 33 °C") and abuse.fold("") == "" and abuse.fold("12.5 34") == "0 0"
