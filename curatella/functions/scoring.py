@@ -132,7 +132,10 @@ def mention_confidence(context: Column, established: Column, version: Column) ->
     return F.least(F.lit(0.95), F.lit(0.7) + F.when(context, 0.1).otherwise(0.0) + F.when(established, 0.1).otherwise(0.0) + F.when(version, 0.05).otherwise(0.0))
 
 
-def name_score(candidate: Column, first: Column, last: Column) -> Column:
-    """2 for the last name, 1 for the first name, 1 for the first initial, found in a candidate's words."""
-    low = F.lower(candidate)
-    return F.contains(low, F.lower(last)).cast("int") * 2 + F.contains(low, F.lower(first)).cast("int") + low.startswith(F.lower(F.substring(first, 1, 1))).cast("int")
+def name_score(candidate_first: Column, candidate_last: Column, first: Column, last: Column) -> Column:
+    """2 for an equal last name, 1 for an equal first name, 1 more for its initial; case and surrounding
+    space aside. What is null or '' earns nothing."""
+    tidy = lambda c: F.lower(F.trim(F.coalesce(c, F.lit(""))))
+    f, n = F.nullif(F.lower(first), F.lit("")), F.nullif(F.lower(last), F.lit(""))
+    point = lambda hit, p: F.when(F.coalesce(hit, F.lit(False)), p).otherwise(0)
+    return point(tidy(candidate_last) == n, 2) + point(tidy(candidate_first) == f, 1) + point(tidy(candidate_first).startswith(F.substring(f, 1, 1)), 1)

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Mapping
 
 from pyspark.sql import Column, DataFrame
@@ -68,31 +69,37 @@ def two_pass(passes: list[DataFrame], id_: str, pair: list[str], order: list[str
     return keep_one(once, pair, ["_pass", *order]).drop("_pass")
 
 
-def acquire(kind: Column, get) -> Column:
-    """How to acquire a tool from its submission's fields, by type with fallbacks; '' if nothing tells.
+#: A rule: the fields that must tell something, the texts (lower case) that tell nothing in them, and a
+#: template with the fields in braces. The first rule of a kind that holds counts.
+Rule = tuple[tuple[str, ...], tuple[str, ...], str]
 
-    get: function of a field name to its column. Values that say nothing (`unknown`, `n/a`, ...) don't count.
+
+def by_rules(kind: Column, rules: Mapping[str, list[Rule]], get) -> Column:
+    """The text of the first rule of the row's kind whose fields all tell something; '' if none does, for
+    other kinds and null.
+
+    get: function of a field name to its column. Values are trimmed; blanks tell nothing.
     """
-    from curatella.functions.blank import trivial_acquisition
-
-    said = lambda f, *more: F.when(~trivial_acquisition(get(f)) & (~F.lower(F.trim(get(f))).isin(*more) if more else F.lit(True)), F.trim(get(f)))
-    text = lambda f: F.when(F.trim(F.coalesce(get(f), F.lit(""))) != "", F.trim(get(f)))
-    contact = lambda c: F.concat(F.lit("Contact developer: "), c)
-    where = F.concat(F.lit(" ("), text("developerAffiliation"), F.lit(")"))
-    asked = F.lower(F.trim(get("itemAcquisition"))) == "contact developer"
-    derived = F.when(asked, F.coalesce(F.concat(contact(text("developerName")), F.coalesce(where, F.lit(""))), F.concat(F.lit("Contact: "), text("developerAffiliation")))).otherwise(said("itemAcquisition"))
-    rules = {
-        "computational_tool": F.coalesce(F.concat(F.lit("Available at: "), text("sourceRepository")), said("itemAcquisition"), contact(text("developerName"))),
-        "organoid_protocol": F.coalesce(said("availabilityStatus", "contact developer"), contact(text("developerContactEmail")), contact(text("developerName"))),
-        "clinical_assessment_tool": F.coalesce(said("availabilityStatus", "contact developer"), contact(text("developerContactEmail")), contact(text("developerName"))),
-        "cell_line": said("itemAcquisition"),
-        "patient_derived_model": derived,
-        "animal_model": F.coalesce(F.when(said("repositoryStatus", "not deposited").isNotNull(), F.lit("Available from repository")), said("itemAcquisition"), contact(text("developerContactEmail"))),
-    }
-    out = None
-    for name, rule in rules.items():
-        out = F.when(kind == name, rule) if out is None else out.when(kind == name, rule)
-    return F.coalesce(out, F.lit(""))
+    out = F.lit("")
+    for own, each in rules.items():
+        made = []
+        for fields, silent, template in each:
+            value = {f: F.trim(get(f)) for f in fields}
+            told = F.lit(True)
+            for v in value.values():
+                told = told & F.coalesce(~F.lower(v).isin("", *silent), F.lit(False))
+            parts = [value[p] if i % 2 else F.lit(p) for i, p in enumerate(re.split(r"\{(\w+)\}", template)) if p]
+            made.append(F.when(told, F.concat(*parts)))
+        out = F.when(kind == own, F.coalesce(*made, F.lit(""))).otherwise(out)
+    return out
+
+
+def fan_out(df: DataFrame, lists: dict[str, str], separator: str = ";") -> DataFrame:
+    """A row per combination of the trimmed items of several separated columns (name of the item -> column);
+    a blank list counts as one ''. The result's size is the product of a row's own lists, never of rows."""
+    for alias, column in lists.items():
+        df = per_item(df, column, separator, alias)
+    return df
 
 
 def nested_map(column: Column, schema: str = "map<string,map<string,string>>") -> Column:

@@ -75,13 +75,14 @@ def registry_id(text: Column) -> Column:
     return F.coalesce(F.regexp_extract(text, r"RRID:\s*([A-Z]+_[A-Za-z0-9:_-]+)", 1), F.lit(""))
 
 
-def vendor_item(context: Column) -> Column:
-    """struct(vendor, catalog) from brackets such as `(Vendor, cat. no. X1)`, else from running text; nulls
-    if there is none."""
+def vendor_item(context: Column, reject: str | None = None) -> Column:
+    """struct(vendor, catalog) from brackets such as `(Vendor, cat. no. X1)`, else from running text; of
+    several the first whose vendor ``reject`` doesn't match. Nulls if there is none."""
     inside = r"[(\[]\s*([A-Z][\w&.\s-]{2,40}?)\s*[,;]\s*(?:[^()\[\]]*?[,;]\s*)?(?:cat(?:alog(?:ue)?)?\.?\s*(?:no\.?|number|#)?\s*:?\s*|#)([A-Za-z0-9][\w-]+)[^()\[\]]*[)\]]"
     running = r"([A-Z][\w&-]+(?:\s[A-Z][\w&-]+)?)\s+(?:cat(?:alog(?:ue)?)?\.?\s*(?:no\.?|number|#)\s*:?\s*)([A-Za-z0-9][\w-]+)"
-    pick = lambda g: F.coalesce(*(F.nullif(F.regexp_extract(context, p, g), F.lit("")) for p in (inside, running)))
-    return F.struct(pick(1).alias("vendor"), pick(2).alias("catalog"))
+    found = lambda p: F.arrays_zip(F.regexp_extract_all(context, F.lit(p), F.lit(1)).alias("vendor"), F.regexp_extract_all(context, F.lit(p), F.lit(2)).alias("catalog"))
+    fine = lambda p: F.get(F.filter(found(p), lambda x: (x["vendor"] != "") & (~x["vendor"].rlike(reject) if reject else F.lit(True))), F.lit(0))
+    return F.coalesce(fine(inside), fine(running), F.struct(F.lit(None).cast("string").alias("vendor"), F.lit(None).cast("string").alias("catalog")))
 
 
 def acquisition(context: Column, registries: list[tuple[str, str]]) -> Column:

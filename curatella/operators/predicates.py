@@ -18,13 +18,9 @@ def excluded_title(title: Column, journal: Column, words: list[str]) -> Column:
     return F.coalesce(F.trim(title) == "", F.lit(True)) | contains_any(title, words) | contains_any(journal, words)
 
 
-def preprint(journal: Column, doi: Column, journals: list[str], doi_prefixes: list[str]) -> Column:
-    """By journal substring or DOI prefix; nulls are none."""
-    low = F.lower(F.coalesce(doi, F.lit("")))
-    out = contains_any(journal, journals)
-    for p in doi_prefixes:
-        out = out | low.startswith(p) | F.contains(low, F.lit(f"/{p}"))
-    return out
+def preprint(journal: Column, doi: Column, journals: list[str], doi_marks: list[str]) -> Column:
+    """By words anywhere in the journal or marks anywhere in the DOI; nulls are none."""
+    return contains_any(journal, journals) | contains_any(doi, doi_marks)
 
 
 def confident(confidence: Column, least: float = 0.7) -> Column:

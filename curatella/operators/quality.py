@@ -84,7 +84,10 @@ def inline_schema(node, definitions: dict, path: tuple[str, ...] = ()):
         if name in path:
             return {"type": "object"}
         rest = {k: v for k, v in node.items() if k != "$ref"}
-        return inline_schema({**definitions.get(name, {}), **rest}, definitions, (*path, name))
+        target = definitions.get(name, {})
+        if "enum" in target:  # of an enumeration only its type and values; the property's own keywords win
+            target = {"type": target.get("type", "string"), "enum": target["enum"]}
+        return inline_schema({**target, **rest}, definitions, (*path, name))
     out = {k: inline_schema(v, definitions, path) for k, v in node.items() if k not in ("$defs", "definitions")}
     if isinstance(out.get("type"), list) and "null" in out["type"]:
         kinds = [t for t in out["type"] if t != "null"]
@@ -106,3 +109,28 @@ def struct_type(schema: dict | str) -> T.DataType:
     if kind == "array":
         return T.ArrayType(struct_type(schema.get("items") or {}))
     return {"integer": T.LongType(), "number": T.DoubleType(), "boolean": T.BooleanType()}.get(kind, T.StringType())
+
+
+def foreign_keys(schemas: dict[str, T.StructType], keys: dict[str, str], aliases: dict[str, str] | None = None) -> list[tuple[str, str, str, str]]:
+    """(child table, column, parent table, key) for every column that bears the name of another table's key.
+
+    schemas: table -> schema; keys: parent table -> its key; aliases: column -> key name, where they differ.
+    In order of tables and columns.
+    """
+    owner = {k: t for t, k in keys.items()}
+    out = []
+    for child, schema in sorted(schemas.items()):
+        for column in schema.names:
+            key = (aliases or {}).get(column, column)
+            if key in owner and owner[key] != child:
+                out.append((child, column, owner[key], key))
+    return out
+
+
+def all_fk_orphans(tables: dict[str, DataFrame], keys: dict[str, str], aliases: dict[str, str] | None = None) -> DataFrame | None:
+    """fk_orphans over all foreign keys that the tables' schemas show; None if there is none."""
+    out = None
+    for child, column, parent, key in foreign_keys({t: df.schema for t, df in tables.items()}, keys, aliases):
+        own = fk_orphans(tables[child], child, column, tables[parent], key)
+        out = own if out is None else out.unionByName(own)
+    return out

@@ -154,3 +154,36 @@ def fill_from(df: DataFrame, field: str, key: str, sources: list[DataFrame]) ->
     for i, v in enumerate(values):
         known.append(F.when(v.isNotNull(), F.lit(i)))
     return df.withColumn("_filled_from", F.coalesce(*known)).withColumn(field, F.coalesce(*values)).drop(*(f"_v{i}" for i in range(1, len(sources) + 1)))
+
+
+def match_by(current: DataFrame, incoming: DataFrame, keys: list[str], fields: list[str], order: list[str], pair: bool = False) -> DataFrame:
+    """current with ``fields`` taken from the incoming row of equal keys, and action: `update` where one
+    differs, else `same`, `none` where there is no such row; incoming rows that match nothing follow with
+    `insert`.
+
+    pair: all keys must be equal; else the first key that both sides have. All current rows that match are
+    updated. Of several incoming rows of one key the first in order counts. A null key matches nothing.
+    """
+    by = [keys] if pair else [[k] for k in keys]
+    out, left = current, incoming
+    drop, values, hits = [], [], []
+    for i, own in enumerate(by):
+        known = F.lit(True)
+        for k in own:
+            known = known & F.col(k).isNotNull()
+        first = keep_one(incoming.where(known), own, order).select(*(F.col(k).alias(f"_k{i}_{k}") for k in own), F.struct(*fields).alias(f"_v{i}"))
+        on = F.lit(True)
+        for k in own:
+            on = on & (F.col(k) == F.col(f"_k{i}_{k}"))
+        out = out.join(first, on, "left")
+        left = left.join(current.select(*own).distinct(), own, "left_anti")
+        drop += [f"_v{i}", *(f"_k{i}_{k}" for k in own)]
+        values.append(F.col(f"_v{i}"))
+        hits.append(F.col(f"_v{i}").isNotNull())
+    new = F.coalesce(*values)
+    differs = F.lit(False)
+    for f in fields:
+        differs = differs | ~F.col(f).eqNullSafe(new[f])
+    action = F.when(new.isNull(), "none").when(differs, "update").otherwise("same")
+    done = out.withColumn("action", action).withColumns({f: F.when(new.isNull(), F.col(f)).otherwise(new[f]) for f in fields}).drop(*drop)
+    return done.unionByName(left.withColumn("action", F.lit("insert")).select(*(c for c in done.columns if c in left.columns or c == "action")), allowMissingColumns=True)

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from curatella.functions import skew
 from curatella.functions.blank import is_filled
 
 
@@ -85,11 +86,23 @@ def ordered_distinct(value: str, order: list[str], separator: str = " | ") -> Co
     return F.array_join(F.array_distinct(F.transform(rows, lambda r: r["_v"])), separator)
 
 
-def listed(value: str, order: list[str], most: int = 5) -> Column:
-    """The first values of a group in order, `... (n more)` for the rest; for use in agg."""
-    rows = F.transform(F.sort_array(F.collect_list(F.struct(*order, F.col(value).alias("_v")))), lambda r: r["_v"])
-    head = F.array_join(F.slice(rows, 1, most), ", ")
-    return F.when(F.size(rows) > most, F.concat(head, F.lit(" ... ("), (F.size(rows) - most).cast("string"), F.lit(" more)"))).otherwise(head)
+def listed(df: DataFrame, keys: list[str], value: str, order: list[str], most: int = 5) -> DataFrame:
+    """(keys, listed): the first values of each group in order, `... (n more)` for the rest.
+
+    Groups are cut into salts, of each of which only the first values go on, so that no group is brought
+    together however large it is.
+    """
+    salt = F.pmod(F.xxhash64(*order, value), F.lit(skew.partitions(df))).cast("int")
+    part = df.select(*keys, F.struct(*order, F.col(value).alias("_v")).alias("_x"), salt.alias("_s")).groupBy(*keys, "_s").agg(F.slice(F.sort_array(F.collect_list("_x")), 1, most).alias("_l"), F.count(F.lit(1)).alias("_n"))
+    both = part.groupBy(*keys).agg(F.slice(F.sort_array(F.flatten(F.collect_list("_l"))), 1, most).alias("_l"), F.sum("_n").alias("_n"))
+    head = F.array_join(F.transform("_l", lambda r: r["_v"]), ", ")
+    return both.select(*keys, F.when(F.col("_n") > most, F.concat(head, F.lit(" ... ("), (F.col("_n") - most).cast("string"), F.lit(" more)"))).otherwise(head).alias("listed"))
+
+
+def missing_counts(df: DataFrame, group: str, column: str, separator: str = ";") -> DataFrame:
+    """(group, field, n): how often each field is named in a separated list of missing ones, blanks aside."""
+    names = df.select(group, F.explode(F.split(F.col(column), separator)).alias("field")).select(group, F.trim("field").alias("field"))
+    return names.where(F.col("field") != "").groupBy(group, "field").agg(F.count(F.lit(1)).alias("n"))
 
 
 def first_filled(value: str, order: Column) -> Column:

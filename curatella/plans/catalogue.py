@@ -1,5 +1,5 @@
 """The core's query modules; each has QUERIES and ORACLE."""
 
-from curatella.plans import problems, reference
+from curatella.plans import curation, problems, reference
 
-MODULES = (problems, reference)
+MODULES = (problems, reference, curation)

@@ -467,9 +467,9 @@ WITH m AS (SELECT *, trim(coalesce(developerName, '')) AS dev, trim(coalesce(dev
 SELECT patientDerivedModelId, _modified, CASE WHEN dev <> '' THEN 'Contact developer: ' || dev || CASE WHEN aff <> '' THEN ' (' || aff || ')' ELSE '' END WHEN aff <> '' THEN 'Contact: ' || aff ELSE '' END AS acquire FROM m""")
 def s46_acquire(spark: SparkSession, d: str) -> DataFrame:
     """How to acquire models whose submitters say: contact the developer."""
-    p = table(spark, d, "patient_models").withColumn("itemAcquisition", F.lit("Contact Developer"))
-    have = set(p.columns)
-    return p.select("patientDerivedModelId", "_modified", comp.acquire(F.lit("patient_derived_model"), lambda f: F.col(f) if f in have else F.lit(None).cast("string")).alias("acquire"))
+    rules = {"model": [(("developerName", "developerAffiliation"), (), "Contact developer: {developerName} ({developerAffiliation})"), (("developerName",), (), "Contact developer: {developerName}"), (("developerAffiliation",), (), "Contact: {developerAffiliation}")]}
+    p = table(spark, d, "patient_models")
+    return p.select("patientDerivedModelId", "_modified", comp.by_rules(F.lit("model"), rules, F.col).alias("acquire"))
 
 
 _SPECIES = [(r"(?i)\b(?:zebrafish|danio)\b", "Danio rerio"), (r"(?i)\b(?:mouse|mice|murine)\b", "Mus musculus"), (r"(?i)\brats?\b", "Rattus norvegicus"), (r"(?i)\b(?:human|patients?|donors?|adults|children)\b", "Homo sapiens"), (r"\b(?:C57BL|BALB|FVB|NOD|NRG|NSG|SCID|129S1)", "Mus musculus")]
@@ -598,7 +598,7 @@ SELECT o_custkey, array_to_string(l[1:5], ', ') || CASE WHEN len(l) > 5 THEN ' .
 def s60_listed(spark: SparkSession, d: str) -> DataFrame:
     """The first five orders of each customer and how many more there are."""
     o = table(spark, d, "orders").withColumn("s", F.col("o_orderkey").cast("string"))
-    return o.groupBy("o_custkey").agg(stats.listed("s", ["o_orderkey"]).alias("listed"))
+    return stats.listed(o, ["o_custkey"], "s", ["o_orderkey"])
 
 
 @query("SELECT ct_id, coalesce(list_contains(validatedLanguages, 'English'), false) AS has_english, coalesce(list_contains(validatedLanguages, 'German'), false) AS has_german, coalesce(list_contains(validatedLanguages, 'Spanish'), false) AS has_spanish FROM clinical_tools")

@@ -51,55 +51,60 @@ def text_cache(spark: SparkSession, folders: list[str], schema: str, key: str =
     return keep_one(bare.where(F.col(key) != ""), [key], ["_rank"]).drop("_rank")
 
 
-def export_records(df: DataFrame, lists: tuple[str, ...] = ("submissions", "data")) -> DataFrame:
-    """Records of a form export: an array under one of the names, or rows as they are; private fields
-    (leading underscore) are dropped at the top and one level below."""
+def _without(column, kind: T.DataType, private: frozenset[str]):
+    """A column without private fields at any depth, and its type."""
+    if isinstance(kind, T.StructType):
+        kept = [(f.name, *_without(column.getField(f.name), f.dataType, private)) for f in kind.fields if f.name not in private]
+        if not kept:
+            return F.lit(None).cast("string"), T.StringType()
+        return F.when(column.isNotNull(), F.struct(*(c.alias(n) for n, c, _ in kept))), T.StructType([T.StructField(n, t) for n, _, t in kept])
+    if isinstance(kind, T.ArrayType) and isinstance(kind.elementType, (T.StructType, T.ArrayType)):
+        return F.transform(column, lambda x: _without(x, kind.elementType, private)[0]), kind
+    return column, kind
+
+
+def export_records(df: DataFrame, private: tuple[str, ...], lists: tuple[str, ...] = ("submissions", "data")) -> DataFrame:
+    """Records of a form export: an array under one of the names, or rows as they are, without the private
+    fields (names such as those of e-mail addresses) at any depth; other fields stay, those with a leading
+    underscore too. An object of private fields only becomes null."""
     have = [c for c in lists if c in df.columns]
     rows = df.select(F.explode(F.coalesce(*have)).alias("r")).select("r.*") if have else df
-    rows = rows.drop(*(c for c in rows.columns if c.startswith("_")))
-    for f in rows.schema.fields:
-        if isinstance(f.dataType, T.StructType) and (own := [n for n in f.dataType.names if n.startswith("_")]) and len(own) < len(f.dataType.names):
-            rows = rows.withColumn(f.name, F.col(f"`{f.name}`").dropFields(*own))
-    return rows
+    names = frozenset(private)
+    return rows.select(*(_without(F.col(f"`{f.name}`"), f.dataType, names)[0].alias(f.name) for f in rows.schema.fields if f.name not in names))
+
+
+def flat_yaml(text: str | None) -> dict[str, str]:
+    """Scalars of a YAML document by their paths, items of lists numbered from 1: `tools.1.name`; nulls are
+    left out, broken and empty documents give {}."""
+    import yaml
+
+    try:
+        root = yaml.safe_load(text) if text else None
+    except yaml.YAMLError:
+        return {}
+    out: dict[str, str] = {}
+    stack = [("", root)]
+    while stack:
+        path, value = stack.pop()
+        if isinstance(value, dict):
+            stack.extend((f"{path}.{k}".lstrip("."), v) for k, v in reversed(value.items()))
+        elif isinstance(value, list):
+            stack.extend((f"{path}.{i}".lstrip("."), v) for i, v in reversed(list(enumerate(value, 1))))
+        elif value is not None and path:
+            out[path] = str(value).lower() if isinstance(value, bool) else str(value)
+    return out
 
 
 def review_yaml(spark: SparkSession, glob: str) -> DataFrame:
-    """(key, review): scalar fields of simple YAML reviews, one file each; key is the file's stem.
-
-    A review is a map of its `name: value` lines; lists of maps are numbered, `tools.1.name`. Files that
-    can't be read that far give an empty map.
-    """
-
-    def parse(text: str | None) -> dict[str, str]:
-        out: dict[str, str] = {}
-        stack: list[tuple[int, str]] = []
-        counts: dict[str, int] = {}
-        for line in (text or "").splitlines():
-            bare = line.split(" #")[0].rstrip()
-            if not bare.strip() or bare.strip().startswith("#") or bare.strip() == "---":
-                continue
-            indent, body = len(bare) - len(bare.lstrip()), bare.strip()
-            while stack and stack[-1][0] >= indent and not (body.startswith("- ") and stack[-1][0] == indent and not stack[-1][1].rsplit(".", 1)[-1].isdigit()):
-                stack.pop()
-            if body.startswith("- "):
-                parent = stack[-1][1] if stack else ""
-                counts[parent] = counts.get(parent, 0) + 1
-                stack.append((indent, f"{parent}.{counts[parent]}".lstrip(".")))
-                indent, body = indent + 2, body[2:].strip()
-            name, colon, value = body.partition(":")
-            parent = stack[-1][1] if stack else ""
-            path = f"{parent}.{name.strip()}".lstrip(".")
-            if not colon:
-                out[parent] = body.strip("'\"")
-            elif value.strip():
-                out[path] = value.strip().strip("'\"")
-            else:
-                stack.append((indent, path))
-        return out
+    """(key, review): flat_yaml of each file of a glob; key is the file's stem. Needs the yaml library."""
+    try:
+        import yaml  # noqa: F401
+    except ImportError as e:
+        raise RuntimeError("reviews in YAML need the yaml library") from e
 
     @F.pandas_udf("map<string,string>")
     def read(texts: pd.Series) -> pd.Series:
-        return pd.Series([parse(t) for t in texts], dtype=object)
+        return pd.Series([flat_yaml(t) for t in texts], dtype=object)
 
     files = spark.read.text(glob, wholetext=True).select(F.regexp_extract(F.input_file_name(), r"([^/]+?)(?:\.[^./]+)?$", 1).alias("key"), "value")
     return files.select("key", read("value").alias("review"))
@@ -107,7 +112,7 @@ def review_yaml(spark: SparkSession, glob: str) -> DataFrame:
 
 def write_csv(df: DataFrame, path: str, columns: list[str]) -> None:
     """CSV in a fixed column order; other columns are left out, lacking ones are ''."""
-    df.select(*(F.col(f"`{c}`").cast("string").alias(c) if c in df.columns else F.lit("").alias(c) for c in columns)).write.mode("overwrite").option("header", True).option("escape", '"').option("emptyValue", "").csv(path)
+    df.select(*(F.col(f"`{c}`").cast("string").alias(c) if c in df.columns else F.lit("").alias(c) for c in columns)).write.mode("overwrite").option("header", True).option("escape", '"').option("emptyValue", "").option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False).csv(path)
 
 
 def append_rows(old: DataFrame, new: DataFrame) -> DataFrame:

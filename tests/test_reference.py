@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from curatella.functions import blank, ids, scoring, text
 from curatella.operators import compile as comp
 from curatella.operators import extract, mining, pivot, predicates, quality, reconcile, resolve, stats
-from curatella.plans import reference
+from curatella.plans import curation, reference
 
 SF = "/root/testdata/sf0.001"
 
@@ -182,10 +182,13 @@ def test_compile_and_pivot(spark):
     row = comp.build(df, {"name": ("basicInfo.name", "name"), "none": ("nope.x",), "pmid": comp.lead_publication(F.col("pubs"))["pmid"]}).first()
     assert tuple(row) == ("in", "", "p2")
     get = lambda **kw: (lambda f: F.lit(kw.get(f)).cast("string"))
-    acq = lambda kind, **kw: one(spark, kind, lambda c: comp.acquire(c, get(**kw)))
-    assert acq("computational_tool", sourceRepository="", itemAcquisition="N/A", developerName="D") == "Contact developer: D"
-    assert acq("patient_derived_model", itemAcquisition="Contact Developer", developerName="D", developerAffiliation="A") == "Contact developer: D (A)"
-    assert acq("cell_line", itemAcquisition="unknown") == "" and acq("other") == "" and acq(None) == ""
+    quiet = ("unknown", "n/a")
+    rules = {"tool": [(("url",), (), "At: {url}"), (("how",), quiet, "{how}"), (("who",), (), "Contact {who}")], "model": [(("who", "where"), (), "Contact {who} ({where})"), (("who",), (), "Contact {who}")]}
+    acq = lambda kind, **kw: one(spark, kind, lambda c: comp.by_rules(c, rules, get(**kw)))
+    assert acq("tool", url="", how="N/A", who=" D ") == "Contact D" and acq("tool", url="u", how="h") == "At: u"
+    assert acq("model", who="D", where="A") == "Contact D (A)" and acq("model", who="D") == "Contact D"
+    assert acq("tool", how="unknown") == "" and acq("other", who="D") == "" and acq(None) == ""
+    assert [tuple(r) for r in comp.fan_out(spark.createDataFrame([("a; b", "x;;y"), (None, "")], "p string, f string"), {"i": "p", "j": "f"}).select("i", "j").collect()] == [("a", "x"), ("a", "y"), ("b", "x"), ("b", "y"), ("", "")]
     assert one(spark, '{"t": {"n": "1"}}', comp.nested_map)[0].asDict() == {"outer": "t", "inner": "n", "value": "1"} and one(spark, "broken", comp.nested_map) == []
     tools = spark.createDataFrame([("1", "a", "x"), ("1", "a", "x"), ("1", "b", "y"), ("1", "a", "w"), (None, "a", "z")], "p string, k string, n string")
     got = pivot.by_publication(tools, "p", "k", "n", ["a", "b", "c"]).first()
@@ -223,8 +226,51 @@ def test_files(spark, tmp_path):
     (tmp_path / "30_review.yaml").write_text("pmid: 30\ntools:\n  - name: 'A'\n    verdict: Keep\n  - name: B\n")
     review = files.review_yaml(spark, str(tmp_path / "*.yaml")).first()
     assert review["key"] == "30_review" and review["review"]["tools.1.verdict"] == "Keep" and review["review"]["tools.2.name"] == "B" and review["review"]["pmid"] == "30"
-    export = spark.createDataFrame([([(("s", "p"), "x")],)], "submissions array<struct<user:struct<name:string,_secret:string>,_private:string>>")
-    assert files.export_records(export).first().asDict(True) == {"user": {"name": "s"}}
+    export = spark.createDataFrame([([(("s", "p"), "x", [("e", 1)], ("n",))],)], "submissions array<struct<user:struct<name:string,email:string>,_publications:string,more:array<struct<email:string,k:int>>,only:struct<email:string>>>")
+    assert files.export_records(export, ("email",)).first().asDict(True) == {"user": {"name": "s"}, "_publications": "x", "more": [{"k": 1}], "only": None}
+    assert files.export_records(export.limit(0), ("email",)).count() == 0
+
+
+def test_yaml_of_all_forms():
+    from curatella.sources import files
+
+    got = files.flat_yaml("pmid: 30\nnote: |\n  two\n  lines\nwords: [a, 'b c']\nplain:\n  - x\n  - y\nok: true\nnone: null\ntools:\n  - {name: A, uses: [1, 2]}\n")
+    assert got == {"pmid": "30", "note": "two\nlines\n", "words.1": "a", "words.2": "b c", "plain.1": "x", "plain.2": "y", "ok": "true", "tools.1.name": "A", "tools.1.uses.1": "1", "tools.1.uses.2": "2"}
+    assert files.flat_yaml("a: [") == {} and files.flat_yaml(None) == {} and files.flat_yaml("") == {} and files.flat_yaml("just text") == {}
+
+
+def test_schema_and_rejects(spark):
+    schema = {"properties": {"kind": {"$ref": "#/$defs/Kind", "description": "own"}, "bare": {"$ref": "#/$defs/Kind"}, "deep": {"$ref": "#/$defs/Deep"}}}
+    flat = quality.inline_schema(schema, {"Kind": {"title": "T", "description": "its", "enum": ["a"]}, "Deep": {"title": "D", "type": ["object", "null"], "properties": {"again": {"$ref": "#/$defs/Deep"}}}})["properties"]
+    assert flat["kind"] == {"type": "string", "enum": ["a"], "description": "own"} and flat["bare"] == {"type": "string", "enum": ["a"]}
+    assert flat["deep"] == {"title": "D", "type": "object", "properties": {"again": {"type": "object"}}}
+    item = lambda t: tuple(one(spark, t, lambda c: extract.vendor_item(c, r"^(?:Figure|Table)")))
+    assert item("(Figure, cat. 12) and (Abcam, cat. no. AB1)") == ("Abcam", "AB1") and item("(Table, cat. 12)") == (None, None) and item(None) == (None, None)
+    score = lambda a, b: spark.range(1).select(scoring.name_score(F.lit(a), F.lit(b), F.lit("Ann"), F.lit("Lee"))).first()[0]
+    assert [score(" ann", "LEE"), score("Alice", "Leeds Smith"), score(None, "lee"), score("", None)] == [4, 1, 2, 0]
+    keys = quality.foreign_keys({"a": spark.createDataFrame([], "x string, b_id string").schema, "b": spark.createDataFrame([], "b_id string").schema}, {"b": "b_id"})
+    assert keys == [("a", "b_id", "b", "b_id")]
+
+
+def test_positions_and_lists(spark):
+    at = lambda t, n: spark.range(1).select(text.positions(F.lit(t), F.lit(n))).first()[0]
+    assert [at("aaa", "aa"), at("xAbab", "ab"), at("ab", "ab"), at("x", "ab"), at("a.b+a.b", "A.B"), at("", "a"), at("a", "")] == [[1, 2], [2, 4], [1], [], [1, 5], [], []]
+    assert at("x\\Ey x\\E", "x\\e") == [1, 6] and at(None, "a") in ([], None)
+    rows = [(v,) for v in ("a; b (x; y)", '["a","b"]', "", None, "NULL", "one", "[not json")]
+    once = [r[0] for r in spark.createDataFrame(rows, "v string").select(text.json_list(F.col("v"))).collect()]
+    assert once == ['["a","b (x; y)"]', '["a","b"]', None, None, None, '["one"]', '["[not json"]']
+    df = spark.createDataFrame([("t 10",), ("t 9",), ("t",), ("a 2",)], "v string")
+    assert [r["v"] for r in df.orderBy(*text.numeric_order(F.col("v"))).collect()] == ["a 2", "t", "t 9", "t 10"]
+    wide = spark.range(5000).select(F.lit("g").alias("g"), F.col("id").cast("string").alias("v"), "id")
+    assert stats.listed(wide, ["g"], "v", ["id"], 3).first()["listed"] == "0, 1, 2 ... (4997 more)"
+
+
+def test_match_by(spark):
+    now = spark.createDataFrame([("a", "1", "x"), ("a", "2", "y"), (None, "3", "z"), ("b", None, "w")], "k string, j string, v string")
+    new = spark.createDataFrame([("a", "9", "n", 1), ("a", "9", "later", 2), ("q", "3", "m", 3), (None, None, "o", 4)], "k string, j string, v string, t int")
+    got = lambda pair: sorted((r["k"] or "", r["j"] or "", r["v"], r["action"]) for r in reconcile.match_by(now, new, ["k", "j"], ["v"], ["t"], pair).collect())
+    assert got(False) == sorted([("a", "1", "n", "update"), ("a", "2", "n", "update"), ("", "3", "m", "update"), ("b", "", "w", "none"), ("", "", "o", "insert")])
+    assert [x[3] for x in got(True)].count("insert") == 4 and [x[3] for x in got(True)].count("none") == 4
 
 
 def test_incremental(spark, tmp_path):
@@ -299,16 +345,25 @@ def plain(v):
     return round(v, 9) if isinstance(v, float) else v
 
 
-@pytest.mark.parametrize("name", sorted(reference.ORACLE))
+@pytest.mark.parametrize("name", sorted(reference.ORACLE | curation.ORACLE))
 def test_query_equals_sql(spark, duck, name):
-    got = reference.QUERIES[name](spark, SF)
+    got = (reference.QUERIES | curation.QUERIES)[name](spark, SF)
     rows = sorted((tuple(plain(v) for v in r) for r in got.collect()), key=repr)
-    want = duck.sql(reference.ORACLE[name])
+    want = duck.sql((reference.ORACLE | curation.ORACLE)[name])
     assert sorted(want.columns) == sorted(got.columns)
     order = [want.columns.index(c) for c in got.columns]
     assert rows == sorted((tuple(plain(r[i]) for i in order) for r in want.fetchall()), key=repr)
 
 
-def test_queries_without_sql_run(spark):
-    for name in set(reference.QUERIES) - set(reference.ORACLE):
-        assert reference.QUERIES[name](spark, SF).count() >= 0
+def test_fuzzy_query_equals_brute_force(spark, duck):
+    from difflib import SequenceMatcher
+
+    assert set(reference.QUERIES | curation.QUERIES) - set(reference.ORACLE | curation.ORACLE) == {"s28_fuzzy_best"}
+    typed = {r[0] for r in duck.sql("SELECT DISTINCT journal FROM publications WHERE trim(journal) <> ''").fetchall()}
+    names = sorted(r[0] for r in duck.sql("SELECT DISTINCT journal_name FROM journal_reference").fetchall())
+    want = {}
+    for t in typed:
+        score, name = max(((SequenceMatcher(None, t.lower(), n.lower()).ratio(), n) for n in reversed(names)), key=lambda x: x[0])
+        if score >= 0.88:
+            want[t] = (min(n for n in names if SequenceMatcher(None, t.lower(), n.lower()).ratio() == score), round(score, 6))
+    assert {r["typed"]: (r["journal_name"], r["score"]) for r in reference.s28_fuzzy_best(spark, SF).collect()} == want and want
