@@ -10,6 +10,7 @@ side in the executors; scoring reads every document whole and moves nothing but
 
 from __future__ import annotations
 
+import functools
 import re
 import unicodedata
 from collections import Counter
@@ -45,26 +46,31 @@ CUT = re.compile(r"(?<=[.!?;:])\s+|[。！？\n\r]+|(?<=[.!?])(?=[A-Z])")
 
 def fold(text: str) -> str:
     """Lower case Latin letters as far as the text has them, white space squeezed, numbers as 0."""
-    text = INVISIBLE.sub("", unicodedata.normalize("NFKC", text)).lower().translate(ALIKE).replace("’", "'")
-    if not text.isascii():
+    if text.isascii():
+        text = text.lower()
+    else:
+        text = INVISIBLE.sub("", unicodedata.normalize("NFKC", text)).lower().translate(ALIKE).replace("’", "'")
         text = "".join(c for c in unicodedata.normalize("NFD", text) if not ("̀" <= c <= "ͯ"))
-    words = []
-    for w in text.split():
-        core = w.strip(".,;:!?\"'()[]{}…*_~")
-        if core and not core.isalpha():
-            letters = sum(c.isalpha() for c in core)
-            if letters and _spelled(core):
-                w = re.sub(r"[^\w$@!]|_", "", core).translate(LEET)
-            elif letters and any(c in "013457$@!|€8" for c in core) and _disguised(core):
-                w = core.translate(LEET)
-            elif letters and any(c.isdigit() for c in core):
-                w = "#"
-            elif not letters:
-                w = "0" if any(c.isdigit() for c in core) else w
-            elif "*" in core:
-                w = re.sub(r"\*+", "*", core)
-        words.append(re.sub(r"(\w)\1{2,}", r"\1", w))
-    return " ".join(_joined(words))
+    words = [_word(w) for w in text.split()]
+    return " ".join(_joined(words) if sum(len(w) == 1 for w in words) > 2 else filter(None, words))
+
+
+@functools.lru_cache(maxsize=200_000)
+def _word(w: str) -> str:
+    core = w.strip(".,;:!?\"'()[]{}…*_~")
+    if core and not core.isalpha():
+        letters = sum(c.isalpha() for c in core)
+        if letters and _spelled(core):
+            w = re.sub(r"[^\w$@!]|_", "", core).translate(LEET)
+        elif letters and any(c in "013457$@!|€8" for c in core) and _disguised(core):
+            w = core.translate(LEET)
+        elif letters and any(c.isdigit() for c in core):
+            w = "#"
+        elif not letters:
+            w = "0" if any(c.isdigit() for c in core) else w
+        elif "*" in core:
+            w = re.sub(r"\*+", "*", core)
+    return re.sub(r"(\w)\1{2,}", r"\1", w)
 
 
 def _spelled(core: str) -> bool:
