@@ -397,7 +397,7 @@ def parse(records: DataFrame, person: bool) -> DataFrame:
 
     schema = pa.schema([("id", pa.int64()), ("same_as", pa.string()), ("parsed", pa.struct([("kind", pa.string()), ("main", pa.string()), ("rest", pa.list_(pa.string())), ("extra", pa.string()), ("place", pa.string()), ("reduced", pa.bool_())])), ("keys", pa.list_(pa.struct([("tag", pa.string()), ("word", pa.string()), ("also", pa.string())])))])
     got = records.select("id", "name", "more", "same_as").mapInArrow(run, f"id bigint, same_as string, parsed {PARSED}, keys array<struct<tag: string, word: string, also: string>>")
-    return got.withColumn("nid", F.md5(F.to_json(F.struct("parsed", F.coalesce("same_as", F.lit("")).alias("s")))))
+    return got.withColumn("nid", F.unhex(F.md5(F.to_json(F.struct("parsed", F.coalesce("same_as", F.lit("")).alias("s"))))))
 
 
 def link(parsed: DataFrame) -> DataFrame:
