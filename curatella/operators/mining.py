@@ -9,6 +9,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from curatella.functions import bloom
 from curatella.functions.text import all_matches, contexts, count_words
 
 # Words that tell that a tool was made, or got, in a paper.
@@ -45,16 +46,21 @@ def scan(docs: DataFrame, doc: str, text: str, patterns: DataFrame) -> DataFrame
     """(doc, id, kind, pattern): patterns that stand in a text as whole words, each once per document.
 
     Instead of testing every pattern on every text, a pattern is looked up by its first two words (or the
-    one it has) among the distinct word pairs of the texts: an equi-join, then an exact test of the whole
-    pattern. Patterns without letters or digits match nothing.
+    one it has) among the distinct word pairs of the texts: a Bloom filter and an equi-join without the texts,
+    which are fetched for what it finds and tested for the whole pattern. Patterns without letters or digits
+    match nothing.
     """
     w = words(F.col("pattern"))
     keyed = patterns.withColumn("_w", w).where(F.size("_w") > 0).withColumn("_key", F.array_join(F.slice("_w", 1, 2), " ")).withColumn("_phrase", F.concat(F.lit(" "), F.array_join("_w", " "), F.lit(" "))).drop("_w")
-    bare = docs.where(F.col(text).isNotNull()).select(F.col(doc).alias("_doc"), words(F.col(text)).alias("_t"))
+    bare = docs.where(F.col(text).isNotNull()).select(F.col(doc).alias("_doc"), words(F.col(text)).alias("_t")).where(F.size("_t") > 0)
+    bare = bare.withColumn("_text", F.concat(F.lit(" "), F.array_join("_t", " "), F.lit(" "))).withColumn("_at", F.xxhash64("_text"))
     pairs = F.transform(F.sequence(F.lit(0), F.greatest(F.size("_t") - 2, F.lit(0))), lambda i: F.array_join(F.slice("_t", i + 1, 2), " "))
-    keys = F.array_distinct(F.concat("_t", pairs))
-    looked = bare.where(F.size("_t") > 0).select("_doc", F.concat(F.lit(" "), F.array_join("_t", " "), F.lit(" ")).alias("_text"), F.explode(keys).alias("_key"))
-    hits = looked.join(keyed, "_key").where(F.contains(F.col("_text"), F.col("_phrase")))
+    looked = bare.select("_doc", "_at", F.explode(F.array_distinct(F.concat("_t", pairs))).alias("_key"))
+    looked = bloom.sift(looked, ["_key"], keyed, ["_key"]).where("_maybe").drop("_maybe")
+    # Spark guesses the sizes of exploded words and of texts from the (packed) table's and would broadcast them through the driver
+    near = looked.hint("merge").join(keyed, "_key").withColumnRenamed("_doc", "_d").withColumnRenamed("_at", "_a")
+    on = F.col("_doc").eqNullSafe(F.col("_d")) & (F.col("_at") == F.col("_a")) & F.contains(F.col("_text"), F.col("_phrase"))
+    hits = near.hint("merge").join(bare.select("_doc", "_at", "_text"), on)
     return hits.select(F.col("_doc").alias(doc), "id", "kind", "pattern").distinct()
 
 

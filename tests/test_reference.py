@@ -302,6 +302,17 @@ def test_containing_lookup_of_short_keys(spark):
     got = {r["q"]: (r["id"], r["how"]) for r in resolve.containing_lookup(wanted, "q", index, shortest=1).collect()}
     assert got == {"st": (3, "contains"), "8": (3, "contains"), "ek": (2, "contains"), "x": (4, "direct"), "b": (5, "contains"), "q": (6, "prefixed"), "h": (2, "contains")}
 
+def test_scan_broadcasts_no_exploded_words(spark):
+    """Words by the thousand of a table that is guessed to be small went to the driver, each with its whole text."""
+    docs = spark.range(40).selectExpr("CASE WHEN id < 2 THEN NULL ELSE id DIV 2 END AS doc", "CASE id WHEN 0 THEN 'nf1' WHEN 1 THEN 'nf2' ELSE concat('the nf1 flox ', CASE id % 2 WHEN 0 THEN 'mouse' ELSE 'rat ' END, repeat(' x y', 500)) END AS body")
+    pats = spark.createDataFrame([("a", "g", "NF1"), ("m", "t", "NF1 flox mouse"), ("a", "g", "NF1"), ("n", "g", "NF2"), ("o", "t", "nf1 flox rat mouse")], "id string, kind string, pattern string")
+    got = mining.scan(docs, "doc", "body", pats)
+    assert "Broadcast" not in got._jdf.queryExecution().executedPlan().toString().replace("autoBroadcast", "")
+    want = [(d, i) for d in range(1, 20) for i in "am"]
+    assert sorted((r["doc"], r["id"]) for r in got.where("doc IS NOT NULL").collect()) == want
+    assert sorted(r["id"] for r in got.where("doc IS NULL").collect()) == ["a", "n"]
+
+
 def test_fuzzy_scan_equals_brute_force(spark):
     from difflib import SequenceMatcher
 
