@@ -18,7 +18,7 @@ def components(edges: DataFrame, a: str = "a", b: str = "b", most_rounds: int =
     edges with null ends are ignored.
     """
     e = edges.select(F.col(a).alias("u"), F.col(b).alias("v")).where(F.col("u").isNotNull() & F.col("v").isNotNull())
-    e = lineage.cut(e.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct())
+    e = lineage.cut(e.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct(), guess=False)
     rows, last = e.count(), None
 
     def joined(neighbours: DataFrame) -> DataFrame:
@@ -35,7 +35,7 @@ def components(edges: DataFrame, a: str = "a", b: str = "b", most_rounds: int =
         large = large.unionByName(e.where(F.col("u") == F.col("v"))).distinct()
         small = joined(large)
         e = small.select(F.col("v").alias("u"), F.col("m").alias("v")).unionByName(small.select("u", F.col("m").alias("v"))).distinct()
-        e = lineage.cut(e)
+        e = lineage.cut(e, guess=False)
         now = e.agg(F.count(F.lit(1)), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
         if now == last:
             break

@@ -54,6 +54,10 @@ KINDS = ("scale", "index", "inventory", "questionnaire", "checklist", "battery",
 FORMS = {"adult": "adult", "adults": "adult", "child": "child", "children": "child", "paediatric": "child", "pediatric": "child", "kids": "child", "youth": "child", "adolescent": "adolescent", "parent": "parent", "proxy": "proxy"}
 FORM_WORDS = frozenset(("form", "version", "edition", "vers", "ver"))
 
+#: Words are exploded to some forty keys each, which no guess of sizes knows.
+cut = functools.partial(lineage.cut, guess=False)
+
+
 def jaro_winkler(a: str, b: str) -> float:
     """Jaro similarity with the common beginning (up to 4) counted once more by a tenth."""
     if a == b:
@@ -289,11 +293,11 @@ def fellows(words: DataFrame) -> DataFrame:
     def same(a: pd.Series, b: pd.Series) -> pd.Series:
         return pd.Series([same_word(x, y) or same_word(y, x) for x, y in zip(a, b, strict=True)], dtype="bool")
 
-    posted = lineage.cut(words.where(F.length("word") > 3).select("word", F.explode(_keys("word")).alias("_s")).select("word", F.xxhash64("_s").alias("_s")))
+    posted = cut(words.where(F.length("word") > 3).select("word", F.explode(_keys("word")).alias("_s")).select("word", F.xxhash64("_s").alias("_s")))
     # what is left of many words may be the same few letters
     pairs = skew.salted_join(posted, posted.select(F.col("word").alias("fellow"), "_s"), ["_s"], "inner", posted.count())
     pairs = pairs.where((F.col("word") < F.col("fellow")) & _near("word", "fellow")).select("word", "fellow").distinct()
-    pairs = lineage.cut(pairs.where(same.asNondeterministic()("word", "fellow")))
+    pairs = cut(pairs.where(same.asNondeterministic()("word", "fellow")))
     return pairs.unionByName(pairs.select(F.col("fellow").alias("word"), F.col("word").alias("fellow")))
 
 
@@ -304,7 +308,7 @@ def candidates(each: DataFrame) -> DataFrame:
     only beside fitting first ones, by what is left of them. Keys of many nodes, such as a name without a
     place, are salted.
     """
-    near = lineage.cut(fellows(each.select("word").distinct()))
+    near = cut(fellows(each.select("word").distinct()))
     other = each.where(F.length("word") > 3).join(near, "word")
     looked = each.unionByName(other.withColumn("word", F.col("fellow")).drop("fellow"))
 
@@ -312,7 +316,7 @@ def candidates(each: DataFrame) -> DataFrame:
         left = F.when(F.col("also") == "", F.array(F.lit(""))).otherwise(_keys("also"))
         return df.withColumn("_s", F.explode(left)).select("nid", "also", F.xxhash64("tag", "word", "_s").alias("_s"))
 
-    mine = lineage.cut(posted(looked))
+    mine = cut(posted(looked))
     pairs = skew.salted_join(mine, posted(each).select(F.col("nid").alias("nid_2"), F.col("also").alias("also_2"), "_s"), ["_s"], "inner", mine.count())
     return pairs.where((F.col("nid") < F.col("nid_2")) & _near("also", "also_2")).select("nid", "nid_2").distinct()
 
@@ -408,8 +412,8 @@ def link(parsed: DataFrame) -> DataFrame:
     different identifiers forbid a direct link. Every record of ``parsed`` gets an entity, alone if need be.
     """
     own = [c for c in parsed.columns if c not in ("nid", "parsed", "keys", "same_as")]
-    parsed = lineage.cut(parsed)
-    nodes = lineage.cut(parsed.groupBy("nid").agg(F.first("parsed").alias("parsed"), F.first("keys").alias("keys"), F.first("same_as").alias("same_as")))
+    parsed = cut(parsed)
+    nodes = cut(parsed.groupBy("nid").agg(F.first("parsed").alias("parsed"), F.first("keys").alias("keys"), F.first("same_as").alias("same_as")))
     # only ids meet in the blocks; what is compared is fetched for distinct pairs
     pairs = candidates(nodes.select("nid", F.inline("keys")))
     side = nodes.select("nid", "parsed", "same_as")
@@ -437,14 +441,14 @@ def link(parsed: DataFrame) -> DataFrame:
     pairs = pairs.where(F.when(ids, F.col("same_as") == F.col("same_as_2")).otherwise(fits))
     # called non-deterministic so that filtering on its result doesn't run it a second time
     judged = pairs.withColumn("level", fit.asNondeterministic()("parsed", "parsed_2", "same_as", "same_as_2")).where(F.col("level") > 0)
-    judged = lineage.cut(judged.select("nid", "nid_2", "level", F.col("parsed.reduced").alias("r"), F.col("parsed_2.reduced").alias("r_2")))
+    judged = cut(judged.select("nid", "nid_2", "level", F.col("parsed.reduced").alias("r"), F.col("parsed_2.reduced").alias("r_2")))
     full = components(judged.where((~F.col("r") & ~F.col("r_2")) | (F.col("level") == 3)), "nid", "nid_2")
     label = nodes.join(full.withColumnRenamed("node", "nid"), "nid", "left").select("nid", F.col("parsed.reduced").alias("r"), F.coalesce("component", "nid").alias("entity"), F.col("component").isNotNull().alias("_in"))
     short = judged.where((F.col("r") != F.col("r_2")) & (F.col("level") < 3)).select(F.when(F.col("r"), F.col("nid")).otherwise(F.col("nid_2")).alias("s"), F.when(F.col("r"), F.col("nid_2")).otherwise(F.col("nid")).alias("f"), "level")
     homes = short.join(label.select(F.col("nid").alias("f"), F.col("entity").alias("home")), "f").groupBy("s", "home").agg(F.max("level").alias("level"))
     best = homes.groupBy("s").agg(F.max("level").alias("top"), F.count(F.lit(1)).alias("n"))
     sole = homes.join(best, "s").where(F.col("level") == F.col("top")).groupBy("s").agg(F.min("home").alias("home"), F.count(F.lit(1)).alias("k"))
-    sole = lineage.cut(sole)
+    sole = cut(sole)
     # shortened names that fit no full name are linked with each other
     lone = judged.where(F.col("r") & F.col("r_2") & (F.col("level") < 3)).join(sole.select(F.col("s").alias("nid")), "nid", "left_anti").join(sole.select(F.col("s").alias("nid_2")), "nid_2", "left_anti")
     alone = components(lone, "nid", "nid_2").select(F.col("node").alias("nid"), F.col("component").alias("_alone"))
@@ -460,7 +464,7 @@ def entity_pairs(linked: DataFrame) -> DataFrame:
 
     Its size is the sum of squared entity sizes by definition; ``link`` itself expands no entity.
     """
-    linked = lineage.cut(linked)
+    linked = cut(linked)
     many = linked.groupBy("entity").agg(F.count(F.lit(1)).alias("_n")).where("_n > 1").select("entity")
     rows = linked.join(many, "entity", "left_semi")
     pairs = skew.salted_join(rows.withColumnRenamed("id", "id_1"), rows.select("entity", F.col("id").alias("id_2")), ["entity"], "inner", linked.count())

@@ -324,6 +324,48 @@ def test_blocks_hold_all_that_agrees(spark):
         assert len(want) > 100 and want <= got
 
 
+def test_no_guess_of_sizes_broadcasts_names(spark, monkeypatch):
+    """Exploded keys were guessed to be as small as the table and went through the driver."""
+    from curatella.functions import lineage
+
+    plans, own = [], lineage.cut
+
+    def cut(df, *args, **how):
+        plans.append(df._jdf.queryExecution().sparkPlan().toString())
+        return own(df, *args, **how)
+
+    monkeypatch.setattr(lineage, "cut", cut)
+    if hasattr(names, "cut"):
+        monkeypatch.setattr(names, "cut", lambda df: cut(df, guess=False))
+    rows = spark.range(6).selectExpr("id", "element_at(array('Ann Beewax', 'Beewax, Ann', 'Ann Beewaxx'), 1 + CAST(id % 3 AS int)) AS name", "'University of Zagrolkozi' AS more", "CAST(NULL AS string) AS same_as")
+    pairs = names.entity_pairs(names.link(names.parse(rows, True)))
+    plans.append(pairs._jdf.queryExecution().sparkPlan().toString())
+    assert len(plans) > 10 and not [p for p in plans if "BroadcastHashJoin" in p]
+    assert pairs.count() == 15
+
+
+def test_guessed_size_of_components_stays_small(spark, monkeypatch):
+    """Each round's joins raised the guess to its fourth power: after some ten rounds a number of megabytes."""
+    from curatella.functions import skew
+    from curatella.functions.components import components
+
+    monkeypatch.setattr(skew, "LEAST", 2)
+    got = components(spark.range(60).selectExpr("id AS a", "id + 1 AS b"), "a", "b")
+    guess = got._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
+    assert int(str(guess)).bit_length() <= 80
+    assert got.select("component").distinct().count() == 1 and got.count() == 61
+
+
+def test_cut_keeps_rows_with_and_without_the_guess(spark):
+    from curatella.functions import lineage
+
+    df = spark.range(10).selectExpr("id", "CASE WHEN id > 3 THEN array(id) END AS a")
+    for guess in (True, False):
+        got = lineage.cut(df, guess=guess)
+        assert got.schema == df.schema and sorted(got.collect()) == sorted(df.collect())
+        assert got.join(got.withColumnRenamed("a", "b"), "id").count() == 10
+
+
 def test_link_of_nothing_and_of_copies(spark):
     assert linked(spark, []) == []
     assert linked(spark, [("Ann Beewax", "University of Zagrolkozi", None)] * 50) == [list(range(50))]
